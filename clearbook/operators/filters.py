@@ -15,7 +15,7 @@ from clearbook.operators.bounded import SMALL_ROWS, SmallList, keep_listed, name
 POINT_NAMES = ["SettlementPoint", "settlementPointName", "SettlementPointName", "settlementPoint", "settlement_point"]
 
 
-def _names(df: DataFrame, names: DataFrame | Iterable[str], column: str) -> DataFrame:
+def names_frame(df: DataFrame, names: DataFrame | Iterable[str], column: str) -> DataFrame:
     if isinstance(names, DataFrame):
         return names.toDF(column)
     return name_frame(df.sparkSession, names, column)
@@ -25,14 +25,14 @@ def keep_qses(df: DataFrame, names: DataFrame | Iterable[str], column: str = "qs
     """Rows of the listed participants, exact match. No list means no rows, and neither does a missing column."""
     if column not in df.columns:
         return df.filter(F.lit(False))
-    return keep_listed(df, SmallList(_names(df, names, column).distinct()), [column])
+    return keep_listed(df, SmallList(names_frame(df, names, column).distinct()), [column])
 
 
 def keep_qses_any_case(df: DataFrame, names: DataFrame | Iterable[str], column: str = "qse_name") -> DataFrame:
     """Rows of the listed participants ignoring case; an empty list, or a missing column, filters nothing."""
     if column not in df.columns:
         return df
-    listed = SmallList(_names(df, names, "_name").select(F.upper("_name").alias("_name")).distinct())
+    listed = SmallList(names_frame(df, names, "_name").select(F.upper("_name").alias("_name")).distinct())
     if listed.is_empty:
         return df
     return df.join(listed.side(), F.upper(F.col(column)) == F.col("_name"), "left_semi")
@@ -58,7 +58,7 @@ def keep_points(
     column = first_column(df, candidates or POINT_NAMES)
     if column is None:
         return df.filter(F.lit(False))
-    listed = SmallList(_names(df, points, column).filter(F.col(column) != "").distinct(), max_rows)
+    listed = SmallList(names_frame(df, points, column).filter(F.col(column) != "").distinct(), max_rows)
     if listed.is_empty:
         return df if on_empty == "pass" else df.filter(F.lit(False))
     return keep_listed(df, listed, [column])

@@ -26,7 +26,7 @@ def text_dates(df: DataFrame) -> DataFrame:
     )
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, *columns: str, digits: int = 7) -> DataFrame:
     """Averages and ratios rounded, because engines differ in the last bits."""
     return df.withColumns({name: F.round(F.col(name), digits) for name in columns})
 
@@ -42,10 +42,10 @@ def _branch_sql(side: str, awards: str, orders: str) -> str:
     def own(column: str, dtype: str, of: str) -> str:
         return column if of == side else f"CAST(NULL AS {dtype})"
 
-    price = "CASE " + " ".join(f"WHEN o.mw{i} IS NOT NULL THEN o.price{i}" for i in range(1, 6)) + " END"
-    size = "CASE " + " ".join(f"WHEN o.mw{i} IS NOT NULL THEN o.mw{i}" for i in range(1, 6)) + " END"
+    price = "CASE " + " ".join(f"WHEN o.mw{i} IS NOT NULL THEN o.price{i}" for i in range(1, 7)) + " END"
+    size = "CASE " + " ".join(f"WHEN o.mw{i} IS NOT NULL THEN o.mw{i}" for i in range(1, 7)) + " END"
     return f"""SELECT CAST(a.delivery_date AS VARCHAR) AS delivery_date, a.hour_ending, a.settlement_point, a.qse_name,
-    round(coalesce(p.price, a.award_price), 6) AS settlement_price, round(p.price, 6) AS mark_price,
+    round(coalesce(p.price, a.award_price), 7) AS settlement_price, round(p.price, 7) AS mark_price,
     o.block_curve, '{side}' AS source_type,
     {own("a.award_mw", "DOUBLE", "Bid")} AS bid_award_mw, {own("a.order_id", "VARCHAR", "Bid")} AS bid_id,
     {own(price, "DOUBLE", "Bid")} AS bid_price, {own(size, "DOUBLE", "Bid")} AS bid_size,
@@ -97,38 +97,29 @@ def combined_sql(side: str) -> str:
 
 
 PAIR_MATCH = " AND ".join(f"b.{key} IS NOT DISTINCT FROM o.{key}" for key in schemas.PAIR_KEYS)
-_FINAL_KEYS = [*schemas.PAIR_KEYS, "bid_id", "offer_id"]
-
-
-def tidy_sql(relation: str) -> str:
-    """Outer select of a settlement check: dates as text, derived prices rounded."""
-    return f"""SELECT * REPLACE (CAST(delivery_date AS VARCHAR) AS delivery_date) FROM ({relation})"""
-
 
 @query(
     f"""{MARKET_SQL}, {combined_sql("bid")}
-SELECT * REPLACE (CAST(delivery_date AS VARCHAR) AS delivery_date, round(bid_award_price, 6) AS bid_award_price)
-FROM combined_bids"""
+SELECT * REPLACE (CAST(delivery_date AS VARCHAR) AS delivery_date) FROM combined_bids"""
 )
 def combined_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bid awards with their bids, first row per key, NULL keys matching."""
-    return text_dates(rounded(paired.combined_bids(market_tables(spark, sf_dir), ROW_ORDER), "bid_award_price"))
+    return text_dates(paired.combined_bids(market_tables(spark, sf_dir), ROW_ORDER))
 
 
 @query(
     f"""{MARKET_SQL}, {combined_sql("offer")}
-SELECT * REPLACE (CAST(delivery_date AS VARCHAR) AS delivery_date, round(offer_award_price, 6) AS offer_award_price)
-FROM combined_offers"""
+SELECT * REPLACE (CAST(delivery_date AS VARCHAR) AS delivery_date) FROM combined_offers"""
 )
 def combined_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offer awards with their offers."""
-    return text_dates(rounded(paired.combined_offers(market_tables(spark, sf_dir), ROW_ORDER), "offer_award_price"))
+    return text_dates(paired.combined_offers(market_tables(spark, sf_dir), ROW_ORDER))
 
 
 @query(
     f"""{MARKET_SQL}, {combined_sql("bid")}, {combined_sql("offer")}
-SELECT b.* REPLACE (CAST(b.delivery_date AS VARCHAR) AS delivery_date, round(bid_award_price, 6) AS bid_award_price),
-  o.* EXCLUDE ({", ".join(schemas.PAIR_KEYS)}) REPLACE (round(offer_award_price, 6) AS offer_award_price)
+SELECT b.* REPLACE (CAST(b.delivery_date AS VARCHAR) AS delivery_date),
+  o.* EXCLUDE ({", ".join(schemas.PAIR_KEYS)})
 FROM combined_bids b JOIN combined_offers o ON {PAIR_MATCH}"""
 )
 def merged_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,16 +128,13 @@ def merged_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = paired.pair_bids_with_offers(
         paired.combined_bids(tables, ROW_ORDER), paired.combined_offers(tables, ROW_ORDER)
     )
-    return text_dates(rounded(pairs, "bid_award_price", "offer_award_price"))
+    return text_dates(pairs)
 
 
 PRICED_PAIRS_SQL = f"""{combined_sql("bid")}, {combined_sql("offer")}, pairs AS (
   SELECT b.*, o.* EXCLUDE ({", ".join(schemas.PAIR_KEYS)})
   FROM combined_bids b JOIN combined_offers o ON {PAIR_MATCH})"""
 
-PRICED_COLUMNS = """round(price, 6) AS market_price"""
-
-
 @query(
     f"""{MARKET_SQL}, {HOURLY_SQL}, {PRICED_PAIRS_SQL}, final AS (
   SELECT pairs.*, p.hour_ending AS delivery_hour, p."interval", p.point_type, p.price, p.dst_flag
@@ -155,12 +143,10 @@ PRICED_COLUMNS = """round(price, 6) AS market_price"""
     AND pairs.settlement_point IS NOT DISTINCT FROM p.settlement_point
   QUALIFY row_number() OVER (PARTITION BY {", ".join("pairs." + key for key in schemas.PAIR_KEYS)}, bid_id, offer_id
     ORDER BY p."interval") = 1)
-SELECT * EXCLUDE (price) REPLACE (CAST(delivery_date AS VARCHAR) AS delivery_date,
-  round(bid_award_price, 6) AS bid_award_price, round(offer_award_price, 6) AS offer_award_price),
-  {PRICED_COLUMNS}
+SELECT * EXCLUDE (price) REPLACE (CAST(delivery_date AS VARCHAR) AS delivery_date), round(price, 7) AS market_price
 FROM final WHERE price IS NOT NULL"""
 )
 def paired_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priced pairs of bid and offer awards."""
     final = paired.paired_final(hourly_tables(spark, sf_dir), order=ROW_ORDER, price_order=["interval"])
-    return text_dates(rounded(final, "bid_award_price", "offer_award_price", "market_price"))
+    return text_dates(rounded(final, "market_price"))
