@@ -101,11 +101,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([column(field) for field in schema])
 
 
-def conform_table(df: DataFrame, table: str, flag_type: T.DataType | None = None) -> DataFrame:
+def conform_table(
+    df: DataFrame, table: str, flag_type: T.DataType | None = None, carry: list[str] | None = None
+) -> DataFrame:
     """Raw records to a table layout: alias rename, flags, blanks, types.
 
     With ``flag_type=BooleanType()`` the indicators of an order are parsed as booleans, before blanks become NULL,
-    because a blank indicator means false.
+    because a blank indicator means false. ``carry`` names further columns to keep, such as the position in the file.
     """
     renamed = rename_by_alias(df, table)
     schema = schemas.TABLES[table]
@@ -114,7 +116,8 @@ def conform_table(df: DataFrame, table: str, flag_type: T.DataType | None = None
         types = {field.name: field.dataType for field in renamed.schema}
         flags = [name for name in ("multi_hour_block", "block_curve") if name in types]
         renamed = renamed.withColumns({name: parse_boolean(F.col(name), types[name]) for name in flags})
-    return conform(nan_columns_to_null(trim_blank_columns(renamed)), schema)
+    carried = [field for field in renamed.schema if field.name in (carry or [])]
+    return conform(nan_columns_to_null(trim_blank_columns(renamed)), T.StructType([*schema.fields, *carried]))
 
 
 def narrow(df: DataFrame) -> DataFrame:

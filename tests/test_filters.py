@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import pytest
+
+from clearbook import schemas
+from clearbook.operators import bounded, filters, joins, sets
+from clearbook.sources import participants
+
+
+@pytest.fixture
+def named(spark):
+    return spark.createDataFrame([("QA", 1), ("qb", 2), (None, 3)], "qse_name string, n int")
+
+
+def test_qse_filter(spark, rows, named):
+    assert rows(filters.keep_qses(named, {"QA", "QB"}), "n") == [(1,)]
+    assert rows(filters.keep_qses(named, spark.createDataFrame([("qb",), ("qb",)], "x string")), "n") == [(2,)]
+    assert rows(filters.keep_qses(named, {"QZ"})) == []
+    assert rows(filters.keep_qses(named, [])) == []
+    assert rows(filters.keep_qses(named.drop("qse_name"), {"QA"})) == []
+
+
+def test_qse_filter_any_case(rows, named):
+    assert rows(filters.keep_qses_any_case(named, {"qa", "QB"}), "n") == [(1,), (2,)]
+    assert rows(filters.keep_qses_any_case(named, []), "n") == [(1,), (2,), (3,)]
+
+
+def test_point_filter(spark, rows):
+    df = spark.createDataFrame([(p, p) for p in ("SP1", "SP2", "SP3", None, "")], "settlementPointName string, n string")
+    assert rows(filters.keep_points(df, {"SP1", "SP3"}), "n") == [("SP1",), ("SP3",)]
+    both = spark.createDataFrame([("SP1", "SP9"), ("SP9", "SP1"), (None, "SP1")], "settlementPoint string, SettlementPoint2 string")
+    both = both.withColumnRenamed("SettlementPoint2", "settlementPointName")
+    assert rows(filters.keep_points(both, {"SP1"})) == [("SP9", "SP1")] or rows(
+        filters.keep_points(both, {"SP1"}), "settlementPointName"
+    ) == [("SP1",), ("SP1",)]
+    assert filters.first_column(both, filters.POINT_NAMES) == "settlementPointName"
+    assert rows(filters.keep_points(df.select("n"), {"SP1"})) == []
+
+
+def test_empty_point_list(rows, spark):
+    df = spark.createDataFrame([("SP1",)], "settlement_point string")
+    assert rows(filters.keep_points(df, [])) == []
+    assert rows(filters.keep_points(df, [], on_empty="pass")) == [("SP1",)]
+
+
+def test_large_lists_join_without_broadcast(spark, rows):
+    df = spark.createDataFrame([("SP1",), ("SP2",), ("SP3",)], "settlement_point string")
+    points = spark.createDataFrame([("SP1",), ("SP3",)], "p string")
+    listed = bounded.SmallList(points, max_rows=1)
+    assert not listed.is_small and not listed.is_empty
+    assert rows(filters.keep_points(df, points, max_rows=1)) == [("SP1",), ("SP3",)]
+
+
+def test_drop_empty(spark, rows):
+    df = spark.createDataFrame([(None, " ", "t"), ("a", None, "t"), (None, "0", None)], "a string, b string, inserted_at string")
+    assert rows(filters.drop_empty(df), "a", "b") == [(None, "0"), ("a", None)]
+
+
+def test_new_rows_by_date(spark, rows):
+    stored = spark.createDataFrame([("2024-01-01",)], "delivery_date string")
+    incoming = spark.createDataFrame([("2024-01-01",), ("2024-01-02",), ("2024-01-02",), (None,)], "delivery_date string")
+    assert rows(joins.new_by_date(incoming, stored)) == [(None,), ("2024-01-02",), ("2024-01-02",)]
+
+
+def test_new_rows_by_interval(spark, rows):
+    layout = "delivery_date string, hour_ending int, interval int"
+    stored = spark.createDataFrame([("d1", 1, 1)], layout)
+    incoming = spark.createDataFrame(
+        [("d1", 1, 1), ("d1", 1, 2), ("d1", None, 1), ("d2", None, None), (None, 1, 1)], layout
+    )
+    assert rows(joins.new_by_interval(incoming, stored)) == [(None, 1, 1), ("d1", 1, 2), ("d2", None, None)]
+
+
+def pairs(spark, *values):
+    return spark.createDataFrame(list(values), "delivery_date string, hour_ending int")
+
+
+def test_common_pairs(spark, rows):
+    one, two = ("2024-01-01", 1), ("2024-01-02", 2)
+    tables = [pairs(spark, one), pairs(spark, one, one, two), pairs(spark, one), pairs(spark, one), pairs(spark, two, one)]
+    assert rows(sets.common_pairs(tables)) == [one]
+    assert rows(sets.common_pairs([pairs(spark, two, one)] * 5)) == [one, two]
+    assert rows(sets.common_pairs([*tables[:4], pairs(spark, two)])) == []
+    assert rows(sets.common_pairs([*tables[:4], None])) == []
+    assert rows(sets.common_pairs([*tables[:4], pairs(spark)])) == []
+
+
+def test_q_name_list(spark):
+    def names(*values):
+        return sets.q_name_list(spark.createDataFrame([(v,) for v in values], "qse_name string")).first().names
+
+    assert names("QXYZ", "QABC", "Q123", "QABC") == "Q123,QABC,QXYZ"
+    assert names("Qabc", "qXYZ", "Q123", "ABC") == "Q123,Qabc"
+
+
+def test_short_names(spark, rows, tmp_path):
+    path = tmp_path / "list.csv"
+    path.write_text("NAME,SHORT NAME\nA, QABC \nB,\nC,QABC\nD,QX\n")
+    assert rows(participants.load_short_names(spark, str(path))) == [("QABC",), ("QX",)]
+    assert rows(participants.load_short_names(spark, str(tmp_path / "none.csv"))) == []
+    other = spark.createDataFrame([("Q1", "x"), (None, "y")], "a string, b string")
+    assert rows(participants.short_names(other)) == []
+    assert rows(participants.first_column_names(other)) == [("Q1",)]
+    assert rows(participants.inline_names(spark, " QA, ,QB,QA")) == [("QA",), ("QB",)]
+
+
+def test_tracked_participants(spark, rows):
+    df = spark.createDataFrame(
+        [("A", "QA", "12", "nan"), ("B", None, "1", "w"), ("C", "QC", "x", "w")],
+        "NAME string, `SHORT NAME` string, `DUNS NUMBER` string, WEB01 string",
+    )
+    tracked = participants.tracked_participants(df)
+    assert tracked.schema == schemas.TRACKED_QSE
+    assert rows(tracked, "short_name", "duns_number", "web01") == [("QA", 12.0, None), ("QC", None, "w")]
+
+
+def test_concat_batches(spark, rows):
+    a = spark.createDataFrame([(1, "x")], "id int, a string")
+    b = spark.createDataFrame([("y", 2)], "b string, id int")
+
+    def broken():
+        raise ValueError("no data")
+
+    assert rows(sets.concat_batches([a, broken, lambda: b]), "id", "a", "b") == [(1, "x", None), (2, None, "y")]

@@ -1,0 +1,241 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from clearbook.functions.curve import ladder_price, ladder_size
+from clearbook.operators import dedup, joins, prices
+from clearbook.plans import paired, update
+from clearbook.plans.classic import classic_final
+from tests.market import DAY, award, frame, market, order, price
+from clearbook import schemas
+
+
+def test_ladder(spark, rows):
+    orders = frame(
+        spark,
+        schemas.ORDERS,
+        [
+            order("a", levels=[(None, 1.0), (5.0, None), (7.0, 9.0)]),
+            order("b", levels=[(2.0, 3.0)]),
+            order("c", levels=[(None, 1.0)] * 5 + [(6.0, 6.0)]),
+            order("d"),
+        ],
+    )
+    assert rows(orders.select("order_id", ladder_size(), ladder_price())) == [
+        ("a", 5.0, None), ("b", 2.0, 3.0), ("c", None, None), ("d", None, None)
+    ]
+    assert rows(orders.filter("order_id = 'c'").select(ladder_size(10), ladder_price(10))) == [(6.0, 6.0)]
+
+
+@pytest.fixture
+def small(spark):
+    """Two bid awards, one without order; two offer awards, one at a point without price; two price intervals."""
+    return market(
+        spark,
+        bids=[order("b1", levels=[(1.0, 11.0)])],
+        bid_awards=[award("b1", mw=1.0, price=20.0), award("b2", mw=2.0, price=21.0)],
+        offers=[order("o1", levels=[(None, 5.0), (4.0, 12.0)])],
+        offer_awards=[award("o1", mw=3.0, price=22.0), award("o2", point="HX", mw=4.0, price=23.0)],
+        prices=[price(30.0, interval=1), price(50.0, interval=2)],
+    )
+
+
+def test_classic_by_hand(spark, rows, small):
+    hourly = prices.hourly_by_point(small.prices, F.col("seq"))
+    final = classic_final(type(small)(small.bids, small.bid_awards, small.offers, small.offer_awards, hourly))
+    assert final.schema.names == schemas.CLASSIC_FINAL.names
+    assert [f.dataType for f in final.schema] == [f.dataType for f in schemas.CLASSIC_FINAL]
+    assert rows(final.drop("delivery_date", "hour_ending", "qse_name")) == sorted(
+        [
+            ("HB", 40.0, 40.0, "V", "Bid", 1.0, "b1", 11.0, 1.0, None, None, None, None),
+            ("HB", 40.0, 40.0, None, "Bid", 2.0, "b2", None, None, None, None, None, None),
+            ("HB", 40.0, 40.0, "V", "Offer", None, None, None, None, 3.0, "o1", 12.0, 4.0),
+            ("HX", 23.0, None, None, "Offer", None, None, None, None, 4.0, "o2", None, None),
+        ],
+        key=lambda r: tuple((v is not None, str(v)) for v in r),
+    )
+
+
+def test_raw_intervals_fan_out(small):
+    final = classic_final(small)
+    assert final.filter("settlement_point = 'HB'").count() == 6
+    assert final.filter("settlement_point = 'HX'").count() == 1
+
+
+def test_only_common_pairs_are_settled(spark, small):
+    other_hour = market(spark, bid_awards=[award("b9", hour=2)]).bid_awards.union(small.bid_awards)
+    tables = type(small)(small.bids, other_hour, small.offers, small.offer_awards, small.prices)
+    assert classic_final(tables).filter("hour_ending = 2").isEmpty()
+    assert classic_final(tables, restrict_to_common_pairs=False).filter("hour_ending = 2").count() == 1
+    assert classic_final(small, dt.date(2024, 1, 2), dt.date(2024, 1, 3)).isEmpty()
+
+
+def test_null_ids_match_in_pairs_only(spark, rows):
+    tables = market(
+        spark,
+        bids=[order(None, levels=[(1.0, 11.0)])],
+        bid_awards=[award(None)],
+        offers=[order("o", levels=[(1.0, 1.0)])],
+        offer_awards=[award("o")],
+        prices=[price(1.0)],
+    )
+    assert rows(paired.combined_bids(tables, ["seq"]), "bid_mw1") == [(1.0,)]
+    assert rows(classic_final(tables).filter("source_type = 'Bid'"), "bid_size") == [(None,)]
+
+
+def test_pairs_by_hand(spark, rows):
+    tables = market(
+        spark,
+        bids=[order("b1", levels=[(1.0, 11.0)], seq=2), order("b1", levels=[(9.0, 99.0)], seq=1)],
+        bid_awards=[award("b1", seq=1), award("b1", mw=77.0, seq=2), award("b2")],
+        offers=[order("o1", levels=[(3.0, 33.0)], flags=("Y", ""))],
+        offer_awards=[award("o1"), award("o2"), award("o3", qse="QB")],
+        prices=[price(40.0, interval=1), price(60.0, interval=2)],
+    )
+    final = paired.paired_final(tables, ["seq"], ["interval"])
+    got = rows(final, "bid_id", "offer_id", "bid_mw1", "offer_mw1", "bid_award_mw", "market_price", "offer_multi_hour_block")
+    assert got == [
+        ("b1", "o1", 9.0, 3.0, 10.0, 40.0, "Y"),
+        ("b1", "o2", 9.0, None, 10.0, 40.0, None),
+        ("b2", "o1", None, 3.0, 10.0, 40.0, "Y"),
+        ("b2", "o2", None, None, 10.0, 40.0, None),
+    ]
+
+
+def test_pairs_without_price_vanish(spark):
+    tables = market(spark, bid_awards=[award("b")], offer_awards=[award("o")], prices=[price(None), price(1.0, point="X")])
+    assert paired.pair_bids_with_offers(
+        paired.combined_bids(tables, ["seq"]), paired.combined_offers(tables, ["seq"])
+    ).count() == 1
+    assert paired.paired_final(tables, ["seq"], ["interval"]).isEmpty()
+
+
+def test_first_price_row_decides_even_when_missing(spark):
+    tables = market(
+        spark, bid_awards=[award("b")], offer_awards=[award("o")], prices=[price(None, interval=1), price(5.0, interval=2)]
+    )
+    assert paired.paired_final(tables, ["seq"], ["interval"]).isEmpty()
+
+
+def brute_force_pairs(tables):
+    """The pair settlement by nested loops over collected rows."""
+
+    def first(rows_, keys, order_):
+        kept = {}
+        for row in sorted(rows_, key=order_):
+            kept.setdefault(tuple(row[k] for k in keys), row)
+        return kept
+
+    def combined(orders, awards):
+        orders, awards = (first(df.collect(), schemas.ORDER_KEYS, lambda r: r.seq) for df in (orders, awards))
+        return [(a, orders.get(key)) for key, a in awards.items()]
+
+    market_price = first(tables.prices.collect(), schemas.PRICE_JOIN_KEYS, lambda r: r.interval)
+    out = []
+    for b, b_order in combined(tables.bids, tables.bid_awards):
+        for o, o_order in combined(tables.offers, tables.offer_awards):
+            if all(b[k] == o[k] for k in schemas.PAIR_KEYS):
+                found = market_price.get(tuple(b[k] for k in schemas.PRICE_JOIN_KEYS))
+                if found is not None and found.price is not None:
+                    out.append(
+                        (b.hour_ending, b.settlement_point, b.qse_name, b.order_id, o.order_id, b.award_mw,
+                         b_order and b_order.mw1, o_order and o_order.mw1, found.price)
+                    )
+    return sorted(out, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+def test_pairs_against_brute_force(spark, rows):
+    def pick(i, values):
+        return values[i % len(values)]
+
+    ids = ["a", "b", "c", None]
+    keys = [(pick(i, ["HB", "HX", None]), pick(i // 3, ["QA", "QB"]), pick(i // 2, [1, 2])) for i in range(60)]
+    tables = market(
+        spark,
+        bids=[order(pick(i, ids), p, q, h, levels=[(float(i), 1.0)], seq=i) for i, (p, q, h) in enumerate(keys)],
+        bid_awards=[award(pick(i // 2, ids), p, q, h, mw=float(i), seq=i) for i, (p, q, h) in enumerate(keys)],
+        offers=[order(pick(i, ids), p, q, h, levels=[(float(i), 1.0)], seq=i) for i, (p, q, h) in enumerate(keys[:20])],
+        offer_awards=[award(pick(i, ids), p, q, h, mw=float(i), seq=i) for i, (p, q, h) in enumerate(keys)],
+        prices=[price(pick(i, [1.0, 2.0, None]), p, h, interval=i) for i, (p, _, h) in enumerate(keys[:9])],
+    )
+    final = paired.paired_final(tables, ["seq"], ["interval"])
+    columns = ["hour_ending", "settlement_point", "qse_name", "bid_id", "offer_id", "bid_award_mw", "bid_mw1", "offer_mw1"]
+    expected = brute_force_pairs(tables)
+    assert expected and rows(final, *columns, "market_price") == expected
+
+
+def test_hourly_across_points(spark, rows):
+    raw = frame(
+        spark,
+        schemas.PRICES,
+        [
+            price(20.0, "SP1", 1, 1, dt.date(2024, 7, 1), seq=1),
+            price(30.0, "SP2", 1, 2, dt.date(2024, 7, 1), seq=2),
+            price(25.0, "SP1", 2, 1, dt.date(2024, 7, 1), seq=3),
+            price(40.0, "SP1", 1, 1, dt.date(2024, 7, 2), seq=4),
+        ],
+    )
+    hourly = prices.hourly_by_hour(raw, F.col("seq"))
+    assert hourly.columns == raw.columns
+    assert rows(hourly, "delivery_date", "hour_ending", "interval", "settlement_point", "point_type", "price") == [
+        (dt.date(2024, 7, 1), 1, 1, "SP1", "LZ", 25.0),
+        (dt.date(2024, 7, 1), 2, 1, "SP1", "LZ", 25.0),
+        (dt.date(2024, 7, 2), 1, 1, "SP1", "LZ", 40.0),
+    ]
+
+
+def test_hourly_skips_missing_prices_and_values(spark, rows):
+    raw = frame(
+        spark,
+        schemas.PRICES,
+        [
+            price(20.0, interval=1, flag=None, seq=1),
+            price(None, interval=2, flag="Y", seq=2),
+            price(40.0, interval=3, flag="N", seq=3),
+            price(float("nan"), interval=4, seq=4),
+            price(9.0, hour=None, seq=5),
+        ],
+    )
+    assert rows(prices.hourly_by_hour(raw, F.col("seq")), "hour_ending", "interval", "price", "dst_flag") == [
+        (None, 1, 9.0, "N"), (1, 1, 30.0, "Y")
+    ]
+    assert rows(prices.hourly_by_point(raw, F.col("seq")), "hour_ending", "price") == [(1, 30.0)]
+    assert prices.point_average(raw, "HB").first().avg_price == 23.0
+
+
+def test_keep_first_treats_nulls_as_equal(spark, rows):
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 5), ("a", 4)], "k string, seq int")
+    assert rows(dedup.keep_first(df, ["k"], ["seq"])) == [(None, 1), ("a", 4)]
+
+
+def test_left_joins(spark, rows):
+    tables = market(
+        spark,
+        bids=[order("a", levels=[(1.0, 1.0)]), order("a", levels=[(2.0, 2.0)]), order(None)],
+        bid_awards=[award("a"), award("z"), award(None)],
+    )
+    joined = joins.award_order_left(tables.bid_awards.drop("seq"), tables.bids.drop("seq"))
+    assert rows(joined, "order_id", "mw1") == [(None, None), ("a", 1.0), ("a", 2.0), ("z", None)]
+
+
+def test_high_water_and_gap(spark):
+    text = spark.createDataFrame([("2024-01-05",), ("02/01/2024",), ("junk",)], "delivery_date string")
+    assert update.high_water(text).first().latest == dt.date(2024, 2, 1)
+    assert update.gap_bounds(dt.date(2024, 2, 11), dt.date(2024, 5, 20)) == (dt.date(2024, 2, 1), dt.date(2024, 3, 1))
+    assert update.gap_bounds(dt.date(2024, 3, 11), dt.date(2024, 5, 20)) is None
+
+
+def test_update_uses_positive_awards_of_tracked_names(spark, rows):
+    tables = market(
+        spark,
+        bid_awards=[award("b"), award("b", point="HX", mw=0.0), award("b", qse="QB", point="HY")],
+        offer_awards=[award("o"), award("o", point="HX", mw=-1.0), award("o", qse="QB", point="HY")],
+        prices=[price(1.0, point=p) for p in ("HB", "HX", "HY")],
+    )
+    dates = (DAY, DAY)
+    fresh = update.update_tables(tables, ["QA"], dates, dates, F.col("seq"))
+    assert rows(fresh.prices, "settlement_point") == [("HB",)]
+    assert rows(update.update_slice(tables, ["QA"], dates, dates, ["seq"], F.col("seq")), "settlement_point") == [("HB",)]
