@@ -67,8 +67,15 @@ def append_rows(df: DataFrame, table: str, loaded_at: dt.datetime) -> None:
 
 def overwrite_dates(df: DataFrame, table: str, loaded_at: dt.datetime) -> None:
     """Replace the delivery dates the rows belong to and leave all others: repeating it changes nothing."""
-    writer = _in_table_order(stamp(df, loaded_at), table).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(table)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    spark = df.sparkSession
+    before = spark.conf.get(setting)
+    # Inserts into a catalog table take this from the session only, a write option is not looked at.
+    spark.conf.set(setting, "dynamic")
+    try:
+        _in_table_order(stamp(df, loaded_at), table).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def write_by_date(df: DataFrame, path: str, mode: str = "append", column: str = DATE) -> None:
