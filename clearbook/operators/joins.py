@@ -10,22 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook import schemas
-from clearbook.functions.cleaning import all_of
 from clearbook.operators.bounded import SmallList, drop_listed, keep_listed
 from clearbook.operators.dedup import keep_first
+from clearbook.operators.skew import HotKeys, left_join_hot_right, null_safe_join, pair_join_hot_left
 
 AWARD_ORDER_KEYS = ["order_id", "delivery_date", "hour_ending"]
 LIST_KEY = "_key"
 
 
-def award_order_left(awards: DataFrame, orders: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def award_order_left(
+    awards: DataFrame, orders: DataFrame, keys: list[str] | None = None, hot: HotKeys | None = None
+) -> DataFrame:
     """Every award with the order curves of the same id, date and hour; several such orders give several rows.
 
-    Columns of the order that an award has too (point and participant) are dropped from the order side.
+    Columns of the order that an award has too (point and participant) are dropped from the order side. ``hot`` are
+    the order keys with very many rows, from ``hot_keys``.
     """
     keys = keys or AWARD_ORDER_KEYS
     shared = [name for name in orders.columns if name in awards.columns and name not in keys]
-    return awards.join(orders.drop(*shared), keys, "left")
+    return left_join_hot_right(awards, orders.drop(*shared), keys, hot or {})
 
 
 def award_price_left(awards: DataFrame, prices: DataFrame) -> DataFrame:
@@ -37,13 +40,6 @@ def award_price_left(awards: DataFrame, prices: DataFrame) -> DataFrame:
     return awards.join(market, schemas.PRICE_JOIN_KEYS, "left")
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on equally named keys where NULL matches NULL; still an equi-join for Spark. Left keys are kept."""
-    hidden = {key: f"_right_{key}" for key in keys}
-    condition = all_of([F.col(key).eqNullSafe(F.col(other)) for key, other in hidden.items()])
-    return left.join(right.withColumnsRenamed(hidden), condition, how).drop(*hidden.values())
-
-
 def keyed(df: DataFrame, keys: list[str]) -> DataFrame:
     """Fold the key columns into one struct column.
 
@@ -76,9 +72,15 @@ def combine(orders: DataFrame, awards: DataFrame, order: list[str | Column], sid
     )
 
 
-def pair_bids_with_offers(combined_bids: DataFrame, combined_offers: DataFrame) -> DataFrame:
-    """Every bid award with every offer award of the same participant, point, date and hour; NULL keys match."""
-    return null_safe_join(combined_bids, combined_offers, schemas.PAIR_KEYS)
+def pair_bids_with_offers(
+    combined_bids: DataFrame, combined_offers: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
+    """Every bid award with every offer award of the same participant, point, date and hour; NULL keys match.
+
+    ``hot`` are the (date, hour, point, participant) cells with very many bid awards, from ``hot_keys``; their pairs
+    are made by many tasks.
+    """
+    return pair_join_hot_left(combined_bids, combined_offers, schemas.PAIR_KEYS, hot or {})
 
 
 def first_price(prices: DataFrame, order: list[str | Column]) -> DataFrame:

@@ -12,8 +12,9 @@ from clearbook import schemas
 from clearbook.functions.curve import LADDER_LEVELS, ladder_price, ladder_size, settlement_price
 from clearbook.operators.bounded import SmallList
 from clearbook.operators.filters import between_dates
-from clearbook.operators.joins import at_common_pairs, award_price_left
+from clearbook.operators.joins import AWARD_ORDER_KEYS, at_common_pairs, award_order_left, award_price_left
 from clearbook.operators.sets import common_pairs
+from clearbook.operators.skew import ROWS_PER_SALT, hot_keys
 
 
 @dataclass(frozen=True)
@@ -64,11 +65,13 @@ def classic_final(
     end: dt.date | str | None = None,
     max_level: int = LADDER_LEVELS,
     restrict_to_common_pairs: bool = True,
+    rows_per_salt: int | None = ROWS_PER_SALT,
 ) -> DataFrame:
     """One row per award, bids and offers together, with order curve figures and market price.
 
     Awards count only for (date, hour) pairs present in all five tables. An award without order or price stays; its
-    settlement price falls back to its own. Raw interval prices multiply the rows, hourly prices do not.
+    settlement price falls back to its own. Raw interval prices multiply the rows, hourly prices do not. An order id
+    with very many orders in one hour is spread over tasks of ``rows_per_salt`` rows; None trusts there is none.
     """
     if start is not None and end is not None:
         tables = tables.between(start, end)
@@ -76,10 +79,10 @@ def classic_final(
     if restrict_to_common_pairs:
         awards = at_common_pairs(awards, SmallList(common_pairs(tables.all())))
     orders = _both_sides(order_summary(tables.bids, max_level), order_summary(tables.offers, max_level))
-    settled = award_price_left(
-        awards.join(orders, ["side", "order_id", "delivery_date", "hour_ending"], "left"), tables.prices
-    )
-    return _final_columns(settled)
+    keys = ["side", *AWARD_ORDER_KEYS]
+    hot = hot_keys(orders.dropna(subset=keys), keys, rows_per_salt) if rows_per_salt else {}
+    with_orders = award_order_left(awards, orders, keys, hot)
+    return _final_columns(award_price_left(with_orders, tables.prices))
 
 
 def _final_columns(settled: DataFrame) -> DataFrame:

@@ -22,15 +22,13 @@ def _is_list(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("ARRAY")
 
 
-def page_items(page: Column, keep: str = "objects") -> Column:
-    """Records of a page as an array of variants.
+def page_items(root: Column, keep: str = "objects") -> Column:
+    """Records of a parsed page as an array of variants.
 
     A list is taken as it is. An object gives its ``data``: a list as it is, an object by its values, of which lists
     are flattened and objects taken. An object without ``data`` is itself the only record. ``keep`` leaves only
-    ``objects``, only ``lists`` (positional records) or ``all`` items. Broken or truncated JSON gives NULL; text behind a
-    complete first value is not looked at.
+    ``objects``, only ``lists`` (positional records) or ``all`` items.
     """
-    root = F.try_parse_json(page)
     fields = F.try_variant_get(root, "$", _OBJECT)
     nested = F.transform(
         F.map_values(F.try_variant_get(root, "$.data", _OBJECT)),
@@ -50,8 +48,14 @@ def page_items(page: Column, keep: str = "objects") -> Column:
 
 
 def flatten_pages(pages: DataFrame, page: str = "page", keep: str = "objects", carry: list[str] | None = None) -> DataFrame:
-    """One row per record: the ``carry`` columns of its page and ``item``."""
-    return pages.select(*(carry or []), F.explode(page_items(F.col(page), keep)).alias("item"))
+    """One row per record: the ``carry`` columns of its page and ``item``.
+
+    Broken or truncated JSON gives no rows; text behind a complete first value is not looked at. The parsed page leaves
+    a generator, so that each page is parsed once.
+    """
+    carry = carry or []
+    parsed = pages.select(*carry, F.explode(F.array(F.try_parse_json(page))).alias("_root"))
+    return parsed.select(*carry, F.explode(page_items(F.col("_root"), keep)).alias("item"))
 
 
 def item_field(name: str, dtype: str = "string", item: str = "item") -> Column:

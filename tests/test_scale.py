@@ -1,0 +1,168 @@
+"""Skewed keys give the same rows, and plans keep the shape they were designed for."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from clearbook import schemas, standin
+from clearbook.operators import bounded, dedup, joins, prices, skew
+from clearbook.plans import paired
+from clearbook.plans.classic import MarketTables, classic_final
+from tests.market import award, market, order, price
+from tests.test_settlement import brute_force_pairs
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third and more of all orders, awards and cells share one key; copies of whole rows and missing ids occur."""
+    bids = [order("hot", levels=[(float(i % 7), 1.0)], seq=i) for i in range(60)]
+    bids += [order("copy", levels=[(1.0, 1.0)], seq=1)] * 30 + [order(None, seq=i) for i in range(5)]
+    bids += [order(f"b{i}", levels=[(1.0, 1.0)], seq=i) for i in range(40)]
+    return market(
+        spark,
+        bids=bids,
+        bid_awards=[award(key, seq=i) for i, key in enumerate(["hot", "copy", "hot", None, "b1", "none"] + [f"c{i}" for i in range(50)])],
+        offers=[order("o", levels=[(1.0, 1.0)])],
+        offer_awards=[award(f"o{i}", seq=i) for i in range(20)] + [award("o", qse="QB"), award(None)],
+        prices=[price(1.0)],
+    )
+
+
+def test_hot_keys(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
+    hot = skew.hot_keys(df, ["k", "v"], rows_per_salt=50)
+    assert list(hot.values()) == [7]
+    assert set(hot) == {df.filter("k = -1").select(F.xxhash64("k", "v")).first()[0]}
+    assert skew.hot_keys(df, ["k", "v"]) == {}
+    assert skew.hot_keys(df.limit(0), ["k"], 1) == {}
+
+
+def test_left_join_with_hot_right_keys(spark, rows):
+    layout = "k string, l int"
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("z", 4), (None, 5)], layout)
+    right = spark.createDataFrame([("a", i) for i in range(40)] + [("a", 7)] * 20 + [("b", 1), (None, 2)], "k string, r int")
+    plain = rows(left.join(right, "k", "left"))
+    hash_of = {r.k: r.h for r in left.select("k", F.xxhash64("k").alias("h")).collect()}
+    found = skew.hot_keys(right, ["k"], rows_per_salt=5)
+    assert found == {hash_of["a"]: 12}
+    # Any set of keys taken for hot gives the same rows, also keys without a match.
+    for hot in (found, {hash_of["z"]: 3, hash_of["b"]: 200}, {hash_of[None]: 4}):
+        assert rows(skew.left_join_hot_right(left, right, ["k"], hot)) == plain
+
+
+def test_salts_spread_copies(spark):
+    right = spark.createDataFrame([("a", 7)] * 400, "k string, r int")
+    hot = skew.hot_keys(right, ["k"], rows_per_salt=50)
+    counts = [r["count"] for r in skew._spread(right, ["k"], hot, F.rand(17)).groupBy("_salt").count().collect()]
+    assert len(counts) == 8 and max(counts) < 120
+
+
+@pytest.mark.parametrize("rows_per_salt", [None, 3, 10])
+def test_classic_is_the_same_under_skew(spark, rows, skewed, rows_per_salt):
+    plain = classic_final(skewed, rows_per_salt=None)
+    assert rows(classic_final(skewed, rows_per_salt=rows_per_salt)) == rows(plain)
+    # 2 hot awards x 60 orders, 1 x 30 copies, 1 x 1, and 53 awards without an order.
+    assert plain.filter("source_type = 'Bid'").count() == 120 + 30 + 1 + 52
+
+
+@pytest.mark.parametrize("rows_per_salt", [None, 3, 10])
+def test_pairs_are_the_same_under_skew(spark, rows, skewed, rows_per_salt):
+    final = paired.paired_final(skewed, ["seq"], ["interval"], rows_per_salt=rows_per_salt)
+    columns = ["hour_ending", "settlement_point", "qse_name", "bid_id", "offer_id", "bid_award_mw", "bid_mw1", "offer_mw1"]
+    expected = brute_force_pairs(skewed)
+    assert len(expected) > 1000 and rows(final, *columns, "market_price") == expected
+
+
+def test_adaptive_execution_splits_hot_partitions(spark, rows):
+    """With thresholds small enough for a test, the left side of the price join is split and stays whole."""
+    awards = spark.range(40_000).select(
+        F.lit("2024-01-01").cast("date").alias("delivery_date"),
+        F.lit(1).alias("hour_ending"),
+        F.when(F.col("id") % 3 != 0, F.lit("HUB")).otherwise(F.col("id").cast("string")).alias("settlement_point"),
+        F.col("id"),
+    )
+    market_prices = awards.groupBy("delivery_date", "hour_ending", "settlement_point").agg(F.avg("id").alias("price"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = joins.award_price_left(awards, market_prices)
+        assert joined.filter("mark_price IS NOT NULL").count() == 40_000
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_keep_first_limits_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    plan = plan_of(dedup.keep_first(df, ["k"], ["id"]))
+    assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
+
+
+@pytest.fixture(scope="module")
+def stand_in(spark):
+    tables = standin.market_tables(spark, SF_DIR)
+    hourly = prices.hourly_by_point(tables.prices, F.col("event_id")).drop("event_id")
+    return MarketTables(tables.bids, tables.bid_awards, tables.offers, tables.offer_awards, hourly)
+
+
+def test_combine_shuffles_each_input_once(spark, stand_in):
+    plan = plan_of(paired.combined_bids(stand_in, standin.ROW_ORDER))
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_pairs_are_never_shuffled(spark, stand_in):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        final = paired.paired_final(stand_in, standin.ROW_ORDER, ["interval"])
+        plan = plan_of(final)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [line for line in plan.splitlines() if "Join" in line or "Exchange" in line]
+    # Four inputs, the hourly average, two for the price match, and two for the pairing, which is the last step.
+    assert "SortMergeJoin" in lines[0] and plan.count("Exchange hashpartitioning") == 9
+
+
+def test_classic_reads_only_what_it_needs(spark, stand_in):
+    final = classic_final(stand_in)
+    plan = plan_of(final)
+    assert "l_discount" not in plan and "l_shipdate" not in plan
+    assert "EqualTo(l_returnflag,A)" in plan
+    # Each side is read once for awards and once for orders, each joined once; prices are read once.
+    assert plan.count("FileScan") == 5
+
+
+def test_common_pairs_shuffle_once(spark, stand_in):
+    from clearbook.operators.sets import common_pairs
+
+    raw = standin.market_tables(spark, SF_DIR)
+    assert plan_of(common_pairs(raw.all())).count("Exchange") == 1
+
+
+def test_small_lists_are_broadcast_and_long_ones_are_not(spark):
+    df = spark.range(100).select(F.col("id").alias("k"))
+    short, long = (bounded.SmallList(spark.range(9).select(F.col("id").alias("k")), n) for n in (10, 5))
+    assert "LocalTableScan" in plan_of(bounded.keep_listed(df, short, ["k"]))
+    assert bounded.keep_listed(df, long, ["k"]).count() == bounded.keep_listed(df, short, ["k"]).count() == 9
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_of(bounded.keep_listed(df, short, ["k"]))
+        assert "Broadcast" not in plan_of(bounded.keep_listed(df, long, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
