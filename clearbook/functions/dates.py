@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The accepted layouts, in the order they are tried. One-letter fields take one or two digits.
-ISO, ISO_SLASH, MONTH_FIRST, DAY_FIRST, MONTH_FIRST_DASH = "yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy"
+# The accepted layouts besides ISO, in the order they are tried. One-letter fields take one or two digits.
+ISO_SLASH, MONTH_FIRST, DAY_FIRST, MONTH_FIRST_DASH = "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy"
 AMBIGUOUS_ONE = "^0?1/(0?[1-9]|1[0-2])/"
+ISO_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 MAX_BATCH_DAYS = 100
 
 
@@ -17,6 +18,11 @@ def _as_column(value: Column | str | dt.date) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 
 
+def _iso_date(text: Column) -> Column:
+    """DATE from ISO text, by the plain cast, which is much faster than a pattern."""
+    return F.when(text.rlike(ISO_SHAPE), text.try_cast("date"))
+
+
 def parse_market_date(text: Column, day_first_when_one: bool = True) -> Column:
     """Text to DATE over all accepted layouts, NULL when none fits.
 
@@ -25,7 +31,7 @@ def parse_market_date(text: Column, day_first_when_one: bool = True) -> Column:
     case.
     """
     text = F.trim(text)
-    attempts = [F.try_to_date(text, ISO), F.try_to_date(text, ISO_SLASH)]
+    attempts = [_iso_date(text), F.try_to_date(text, ISO_SLASH)]
     if day_first_when_one:
         attempts.append(F.when(text.rlike(AMBIGUOUS_ONE), F.try_to_date(text, DAY_FIRST)))
     attempts += [F.try_to_date(text, layout) for layout in (MONTH_FIRST, DAY_FIRST, MONTH_FIRST_DASH)]
@@ -40,15 +46,14 @@ def normalize_date(text: Column, day_first_when_one: bool = True) -> Column:
 
 def parse_stored_date(text: Column) -> Column:
     """DATE from stored text: ISO, else month-first, else an ISO prefix of ten characters, else NULL."""
-    return F.coalesce(
-        F.try_to_date(text, ISO), F.try_to_date(text, MONTH_FIRST), F.try_to_date(F.substring(text, 1, 10), ISO)
-    )
+    prefix = F.substring(text, 1, 10)
+    return F.coalesce(_iso_date(text), F.try_to_date(text, MONTH_FIRST), _iso_date(prefix))
 
 
 def flexible_bound(text: Column, is_start: bool) -> Column:
     """A day, or a month widened to its first (``is_start``) or last day; NULL for anything else."""
     month = F.try_to_date(text, "yyyy-M")
-    return F.coalesce(F.try_to_date(text, ISO), month if is_start else F.last_day(month))
+    return F.coalesce(_iso_date(text), month if is_start else F.last_day(month))
 
 
 def parse_bound(text: str, is_start: bool) -> dt.date:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clearbook.functions.cleaning import all_of
+
 # A filter list up to this many rows is shipped to every executor; a longer one is joined by shuffle.
 SMALL_ROWS = 200_000
 
@@ -25,19 +27,27 @@ class SmallList:
         self.is_empty = fetched.num_rows == 0
         self.frame = keys.sparkSession.createDataFrame(fetched, keys.schema) if self.is_small else keys
 
-    def side(self) -> DataFrame:
-        """The list as a join side: with a broadcast hint only when its size has been checked."""
-        return F.broadcast(self.frame) if self.is_small else self.frame
+    def side(self, names: list[str] | None = None) -> DataFrame:
+        """The list as a join side, renamed if wanted: with a broadcast hint only when its size has been checked."""
+        frame = self.frame.toDF(*names) if names else self.frame
+        return F.broadcast(frame) if self.is_small else frame
+
+
+def _list_join(df: DataFrame, keys: SmallList, on: list[str], how: str) -> DataFrame:
+    """Semi or anti join by condition and not by name, which would move the key columns to the front."""
+    hidden = [f"_listed_{number}" for number in range(len(on))]
+    matches = [F.col(f"`{name}`") == F.col(other) for name, other in zip(on, hidden)]
+    return df.join(keys.side(hidden), all_of(matches), how)
 
 
 def keep_listed(df: DataFrame, keys: SmallList, on: list[str]) -> DataFrame:
-    """Rows whose key is in the list; NULL keys never are."""
-    return df.join(keys.side(), on, "left_semi")
+    """Rows whose key is in the list, which has its columns in the order of ``on``; NULL keys never are."""
+    return _list_join(df, keys, on, "left_semi")
 
 
 def drop_listed(df: DataFrame, keys: SmallList, on: list[str]) -> DataFrame:
     """Rows whose key is not in the list; NULL keys stay."""
-    return df.join(keys.side(), on, "left_anti")
+    return _list_join(df, keys, on, "left_anti")
 
 
 def name_frame(spark: SparkSession, names: Iterable[str], column: str) -> DataFrame:

@@ -56,6 +56,12 @@ def missing_columns(df: DataFrame, schema: T.StructType) -> list[str]:
     return [name for name in schema.names if name not in df.columns]
 
 
+def rename_with_report(df: DataFrame, table: str) -> tuple[DataFrame, list[str], list[str]]:
+    """``rename_by_alias`` with the layout columns the frame lacks and the columns it has beyond the layout."""
+    renamed, schema = rename_by_alias(df, table), schemas.TABLES[table]
+    return renamed, missing_columns(renamed, schema), [name for name in renamed.columns if name not in schema.names]
+
+
 def trim_blank_columns(df: DataFrame, only_numeric_names: bool = False) -> DataFrame:
     """Trim text columns and turn blanks to NULL, everywhere or only where the name says the column is a number."""
 

@@ -63,12 +63,10 @@ def combine(orders: DataFrame, awards: DataFrame, order: list[str | Column], sid
     joined = awards.select(LIST_KEY, "award_mw", "award_price").join(
         orders.select(LIST_KEY, *curve), [LIST_KEY], "left"
     )
-    return joined.select(
-        *[F.col(f"{LIST_KEY}.{name}").alias(name) for name in schemas.PAIR_KEYS],
-        F.col(f"{LIST_KEY}.order_id").alias(f"{side}_id"),
-        *[F.col(name).alias(f"{side}_{name}") for name in curve],
-        F.col("award_mw").alias(f"{side}_award_mw"),
-        F.col("award_price").alias(f"{side}_award_price"),
+    return joined.selectExpr(
+        *[f"{LIST_KEY}.{name}" for name in schemas.PAIR_KEYS],
+        f"{LIST_KEY}.order_id AS {side}_id",
+        *[f"{name} AS {side}_{name}" for name in [*curve, "award_mw", "award_price"]],
     )
 
 

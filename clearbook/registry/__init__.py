@@ -27,6 +27,15 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """All registered queries and their SQL."""
-    from clearbook.registry import aggregates, calendar, conforming, filtering, joining, settlement, storage  # noqa: F401
+    from clearbook.registry import (  # noqa: F401
+        aggregates,
+        calendar,
+        conforming,
+        filtering,
+        ingesting,
+        joining,
+        settlement,
+        storage,
+    )
 
     return dict(QUERIES), dict(SQL)

@@ -21,9 +21,7 @@ HOURLY_SQL = """hourly AS (
 
 def text_dates(df: DataFrame) -> DataFrame:
     """Dates as ISO text, so that both engines hand out the same value."""
-    return df.select(
-        [F.col(name).cast("string").alias(name) if dtype == "date" else F.col(name) for name, dtype in df.dtypes]
-    )
+    return df.withColumns({name: F.col(name).cast("string") for name, dtype in df.dtypes if dtype == "date"})
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 7) -> DataFrame:

@@ -16,7 +16,7 @@ from clearbook.sources import tables
 from clearbook.standin import MARKET_SQL, interval_prices, table
 
 
-def _fresh_path(spark: SparkSession, what: str) -> str:
+def fresh_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/clearbook-{what}-{uuid.uuid4().hex}"
 
 
@@ -27,7 +27,7 @@ FROM prices GROUP BY ALL"""
 )
 def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices appended twice to a date-partitioned table and read back; a second append repeats the rows."""
-    path = _fresh_path(spark, "prices")
+    path = fresh_path(spark, "prices")
     prices = interval_prices(spark, sf_dir).drop("event_id")
     tables.write_by_date(prices, path)
     tables.write_by_date(prices, path)
@@ -41,7 +41,7 @@ FROM orders GROUP BY 1"""
 )
 def yearly_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written with one partition per year, cleared first, and read back by partition."""
-    path = _fresh_path(spark, "orders")
+    path = fresh_path(spark, "orders")
     tables.write_by_year(table(spark, sf_dir, "orders"), path, date="o_orderdate", clear=True)
     by_year = spark.read.parquet(path).groupBy("year")
     return by_year.agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("top_price"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -16,6 +17,10 @@ JOB_SETTINGS = {
 }
 
 
+# Fixed value: without this, every column expression asks the JVM where in the Python code it was written.
+_NO_TRACING = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime options above on a live session and return it."""
     for key, value in JOB_SETTINGS.items():
@@ -28,7 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     builder = SparkSession.builder.master(master).appName("clearbook").config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**JOB_SETTINGS, **options}.items():
+    for key, value in {**JOB_SETTINGS, **_NO_TRACING, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -44,6 +49,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fresh = tempfile.mkdtemp(prefix="clearbook-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="clearbook-")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from clearbook import schemas
 from clearbook.operators.conform import conform, stamp
+from clearbook.operators.quality import is_empty
 
 DATE = "delivery_date"
 
@@ -65,6 +66,14 @@ def append_rows(df: DataFrame, table: str, loaded_at: dt.datetime) -> None:
     _in_table_order(stamp(df, loaded_at), table).write.mode("append").insertInto(table)
 
 
+def append_tables(frames: dict[str, DataFrame | None], database: str, loaded_at: dt.datetime) -> list[str]:
+    """Append several frames to the tables of the same name; absent and empty ones are skipped. Returns what was written."""
+    written = [name for name, frame in frames.items() if not is_empty(frame)]
+    for name in written:
+        append_rows(frames[name], f"{database}.{name}", loaded_at)
+    return written
+
+
 def overwrite_dates(df: DataFrame, table: str, loaded_at: dt.datetime) -> None:
     """Replace the delivery dates the rows belong to and leave all others: repeating it changes nothing."""
     setting = "spark.sql.sources.partitionOverwriteMode"

@@ -36,47 +36,34 @@ def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Total order of the derived rows, standing for "position in the file".
+ROW_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax"]
+
 _KEYS = ["delivery_date", "hour_ending", "settlement_point", "qse_name"]
 
 
 def _orders(lines: DataFrame) -> DataFrame:
-    empty = [F.lit(None).cast("double").alias(f"{part}{level}") for level in range(3, 11) for part in ("mw", "price")]
-    return lines.select(
+    empty = [f"CAST(NULL AS DOUBLE) AS {part}{level}" for level in range(3, 11) for part in ("mw", "price")]
+    return lines.selectExpr(
         *_KEYS,
-        F.when(F.col("l_partkey") % 3 != 0, F.col("l_quantity")).alias("mw1"),
-        F.col("l_extendedprice").alias("price1"),
-        F.when(F.col("l_partkey") % 2 == 0, F.col("l_quantity") * 2).alias("mw2"),
-        F.when(F.col("l_suppkey") % 7 != 0, F.col("l_tax")).alias("price2"),
+        "CASE WHEN l_partkey % 3 <> 0 THEN l_quantity END AS mw1",
+        "l_extendedprice AS price1",
+        "CASE WHEN l_partkey % 2 = 0 THEN l_quantity * 2 END AS mw2",
+        "CASE WHEN l_suppkey % 7 <> 0 THEN l_tax END AS price2",
         *empty,
         "order_id",
-        F.when(F.col("l_linenumber") % 2 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("multi_hour_block"),
-        F.when(F.col("l_linenumber") % 3 == 0, F.lit("V")).otherwise(F.lit("")).alias("block_curve"),
-        "l_partkey",
-        "l_suppkey",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
+        "CASE WHEN l_linenumber % 2 = 0 THEN 'Y' ELSE 'N' END AS multi_hour_block",
+        "CASE WHEN l_linenumber % 3 = 0 THEN 'V' ELSE '' END AS block_curve",
+        *ROW_ORDER,
     )
 
 
 def _awards(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        *_KEYS,
-        F.col("l_quantity").alias("award_mw"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("award_price"),
-        "order_id",
-        "l_partkey",
-        "l_suppkey",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
+    return lines.selectExpr(
+        *_KEYS, "l_quantity AS award_mw", "l_extendedprice / l_quantity AS award_price", "order_id", *ROW_ORDER
     )
 
 
-# Total order of the derived rows, standing for "position in the file".
-ROW_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax"]
-
-
 def interval_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarter-hour prices, with ``event_id`` as the position in the file."""
     events = table(spark, sf_dir, "events")

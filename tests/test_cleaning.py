@@ -65,6 +65,13 @@ def test_conform_fills_and_orders(spark):
     assert conform.missing_columns(df, schemas.AWARDS) == schemas.AWARDS.names
 
 
+def test_rename_reports_what_is_missing_and_unknown(spark):
+    df = spark.createDataFrame([("a", "b")], "bidId string, note string")
+    renamed, missing, unknown = conform.rename_with_report(df, "bid_awards")
+    assert renamed.columns == ["order_id", "note"] and unknown == ["note"]
+    assert missing == [name for name in schemas.AWARDS.names if name != "order_id"]
+
+
 def test_flags_are_parsed_before_blanks_vanish(spark):
     df = spark.createDataFrame([("", "V")], "`Multi-Hour Block Indicator` string, `Block/Curve indicator` string")
     row = conform.conform_table(df, "bids", T.BooleanType()).first()

@@ -2,14 +2,16 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from clearbook import schemas
-from clearbook.operators import conform
+from clearbook import schemas, session
+from clearbook.operators import conform, filters, joins
+from clearbook.operators import prices as price_ops
 from clearbook.plans import backfill, monthly, paired, price_load
-from clearbook.sources import tables
+from clearbook.sources import delimited, participants, tables
 from clearbook.streaming import ingest
 from tests.market import DAY, award, market, order, price
 from tests.test_sources import AWARD_HEADER, PRICE_HEADER, write, zipped
@@ -53,6 +55,12 @@ def test_create_append_read(spark, rows, database, small):
     assert tables.read_if_present(spark, f"{database}.nothing") is None
 
 
+def test_append_several(spark, database, small):
+    frames = {"bids": small.bids, "offers": None, "prices": small.prices.limit(0)}
+    assert tables.append_tables(frames, database, NOW) == ["bids"]
+    assert spark.table(f"{database}.bids").count() == 1
+
+
 def test_date_filter_prunes_partitions(spark, database, small):
     tables.append_rows(small.bid_awards, f"{database}.bid_awards", NOW)
     plan = spark.table(f"{database}.bid_awards").filter("delivery_date = '2024-01-01'")._jdf.queryExecution().toString()
@@ -210,3 +218,38 @@ def test_replayed_batch_replaces_itself(spark, rows, small, tmp_path):
         write_batch(small.bid_awards.drop("seq"), batch)
     assert rows(ingest.read_table(spark, str(tmp_path), "bid_awards"), "batch_id", "order_id") == [(0, "b1"), (1, "b1")]
     assert ingest.read_table(spark, str(tmp_path), "offers").isEmpty()
+
+
+def test_scenario_over_day_files(spark, rows, tmp_path):
+    """Day files filtered by a tracking list: kept rows are a subset, and their points have prices."""
+    names = ["QA", "QB", "QC"]
+    body = "".join(f"2024-01-30,{h},P{i},{q},{i},{20 + i},b{i}{h}\n" for h in (1, 2) for i, q in enumerate(names))
+    folder = write(tmp_path / "day", {"60d_DAM_EnergyBidAwards-30-JAN-25.csv": f"{AWARD_HEADER}\n{body}"})
+    prices = "".join(f"01/30/2024,1,{i},P{p},RN,{v},N\n" for i, v in ((1, 21.5), (2, 22.32)) for p in (0, 1))
+    spp = write(tmp_path / "spp", {"cdr.SPP.csv": f"{PRICE_HEADER}\n{prices}"})
+    listing = write(tmp_path / "list", {"list.csv": "SHORT NAME,NAME\nQA,x\n QB ,y\n"})
+    tracked = participants.load_short_names(spark, listing)
+    awards = conform.conform_table(delimited.scan_by_header(spark, folder, "bid_awards"), "bid_awards")
+    kept = filters.keep_qses(awards, tracked)
+    assert kept.exceptAll(awards).isEmpty() and kept.count() == 4
+    assert kept.select("qse_name").exceptAll(awards.select("qse_name")).isEmpty()
+    spot = conform.conform_table(delimited.scan_prices(spark, spp), "prices")
+    assert round(price_ops.point_average(spot, "P0").first().avg_price, 2) == 21.91
+    overlap = joins.prices_at_points(spot, kept.select("settlement_point"))
+    assert rows(overlap.select("settlement_point").distinct()) == [("P0",), ("P1",)]
+    assert rows(filters.keep_qses(awards, [])) == []
+    assert rows(filters.keep_qses(awards.drop("qse_name"), tracked)) == []
+
+
+def test_shared_folder():
+    """The folder the cluster names counts; only a local session may do without one."""
+
+    def pretend(named, master):
+        conf = SimpleNamespace(get=lambda key, default: named if key == "spark.checkpoint.dir" else default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert session.shared_dir(pretend("/shared/x", "yarn")) == "/shared/x"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(pretend(None, "yarn"))
+    local = pretend(None, "local[4]")
+    assert session.shared_dir(local) == session.shared_dir(local)
