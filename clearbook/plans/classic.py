@@ -75,9 +75,14 @@ def classic_final(
     """
     if start is not None and end is not None:
         tables = tables.between(start, end)
+    if restrict_to_common_pairs:
+        pairs = SmallList(common_pairs(tables.all()))
+        dates = pairs.bounds("delivery_date")
+        # Nothing outside these dates can be part of the result; on partitioned tables the rest is not read.
+        tables = tables.between(*dates) if dates else tables
     awards = _both_sides(tables.bid_awards, tables.offer_awards)
     if restrict_to_common_pairs:
-        awards = at_common_pairs(awards, SmallList(common_pairs(tables.all())))
+        awards = at_common_pairs(awards, pairs)
     orders = _both_sides(order_summary(tables.bids, max_level), order_summary(tables.offers, max_level))
     keys = ["side", *AWARD_ORDER_KEYS]
     hot = hot_keys(orders.dropna(subset=keys), keys, rows_per_salt) if rows_per_salt else {}

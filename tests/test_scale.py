@@ -155,14 +155,35 @@ def test_common_pairs_shuffle_once(spark, stand_in):
     assert plan_of(common_pairs(raw.all())).count("Exchange") == 1
 
 
-def test_small_lists_are_broadcast_and_long_ones_are_not(spark):
-    df = spark.range(100).select(F.col("id").alias("k"))
-    short, long = (bounded.SmallList(spark.range(9).select(F.col("id").alias("k")), n) for n in (10, 5))
-    assert "LocalTableScan" in plan_of(bounded.keep_listed(df, short, ["k"]))
-    assert bounded.keep_listed(df, long, ["k"]).count() == bounded.keep_listed(df, short, ["k"]).count() == 9
+def test_lists_become_filters_broadcasts_or_joins(spark, monkeypatch):
+    df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 2).alias("j"))
+    wanted = df.filter("k < 9")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan_of(bounded.keep_listed(df, short, ["k"]))
-        assert "Broadcast" not in plan_of(bounded.keep_listed(df, long, ["k"]))
+        plans = []
+        for keys, max_rows, literal_rows in ((["k"], 10, 10), (["k"], 10, 5), (["k", "j"], 10, 10), (["k"], 5, 10)):
+            monkeypatch.setattr(bounded, "LITERAL_ROWS", literal_rows)
+            listed = bounded.SmallList(wanted.select(*keys), max_rows)
+            kept, dropped = bounded.keep_listed(df, listed, keys), bounded.drop_listed(df, listed, keys)
+            assert (kept.count(), dropped.count()) == (9, 91)
+            assert kept.columns == dropped.columns == df.columns
+            plans.append(plan_of(kept))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in plans[0]
+    assert "BroadcastHashJoin" in plans[1] and "BroadcastHashJoin" in plans[2]
+    assert "SortMergeJoin" in plans[3] and "Broadcast" not in plans[3]
+
+
+def test_short_lists_prune_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20).select("id", (F.col("id") % 5).alias("day")).write.partitionBy("day").parquet(path)
+    days = bounded.SmallList(spark.createDataFrame([(1,), (3,), (None,)], "day int"))
+    kept = bounded.keep_listed(spark.read.parquet(path), days, ["day"])
+    assert kept.count() == 8 and "PartitionFilters: [day" in plan_of(kept)
+    nulls = spark.createDataFrame([(1,), (2,), (None,)], "day int")
+    assert bounded.drop_listed(nulls, days, ["day"]).count() == 2
+    assert days.bounds("day") == (1, 3)
+    empty = bounded.SmallList(nulls.limit(0))
+    assert bounded.keep_listed(nulls, empty, ["day"]).isEmpty() and bounded.drop_listed(nulls, empty, ["day"]).count() == 3
+    assert empty.bounds("day") is None
