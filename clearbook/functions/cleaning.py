@@ -82,6 +82,3 @@ def to_type(value: Column, dtype: T.DataType) -> Column:
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

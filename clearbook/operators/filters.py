@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.functions.cleaning import any_of
+from clearbook.functions.cleaning import blank_to_null
 from clearbook.operators.bounded import SMALL_ROWS, SmallList, keep_listed, name_frame
 
 # Spellings of the settlement point column, in the order they are looked for.
@@ -78,11 +78,7 @@ def present(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna(how="any", subset=columns)
 
 
-def _has_text(column: Column) -> Column:
-    return F.trim(column.cast("string")) != ""
-
-
 def drop_empty(df: DataFrame, meta: tuple[str, ...] = ("inserted_at",)) -> DataFrame:
     """Rows with at least one value, NULL or blank not counting, outside the bookkeeping columns."""
-    tests = [F.coalesce(_has_text(F.col(name)), F.lit(False)) for name in df.columns if name not in meta]
-    return df.filter(any_of(tests))
+    values = [blank_to_null(F.col(f"`{name}`").cast("string")) for name in df.columns if name not in meta]
+    return df.filter(F.coalesce(*values).isNotNull())

@@ -112,9 +112,15 @@ def at_common_pairs(df: DataFrame, pairs: SmallList) -> DataFrame:
     return keep_listed(df, pairs, ["delivery_date", "hour_ending"])
 
 
+def _stored_at(incoming: DataFrame, stored: DataFrame, date: str) -> DataFrame:
+    """Stored rows of the dates that come in; on a date-partitioned table the others are not read."""
+    return keep_listed(stored, SmallList(incoming.select(date).distinct()), [date])
+
+
 def new_by_date(incoming: DataFrame, stored: DataFrame, date: str = "delivery_date") -> DataFrame:
     """Rows of dates not stored yet; a NULL date counts as new. Repeats within the incoming rows stay."""
-    return drop_listed(incoming, SmallList(stored.select(date).distinct()), [date])
+    known = _stored_at(incoming, stored, date).select(date).distinct()
+    return drop_listed(incoming, SmallList(known), [date])
 
 
 def new_by_interval(
@@ -125,7 +131,9 @@ def new_by_interval(
     A row without hour or interval is judged by its date alone; one without a date is new.
     """
     cells = [date, hour, interval]
-    fresh = drop_listed(incoming, SmallList(stored.select(*cells).distinct()), cells)
+    known = SmallList(_stored_at(incoming, stored, date).select(*cells).distinct())
+    fresh = drop_listed(incoming, known, cells)
+    by_date = "_date_if_partial"
     partial = F.when(F.col(hour).isNull() | F.col(interval).isNull(), F.col(date))
-    dates = SmallList(stored.select(F.col(date).alias("_stored_date")).distinct())
-    return fresh.join(dates.side(), partial == F.col("_stored_date"), "left_anti")
+    dates = SmallList(known.frame.select(date).distinct())
+    return drop_listed(fresh.withColumn(by_date, partial), dates, [by_date]).drop(by_date)

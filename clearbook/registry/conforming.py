@@ -39,9 +39,6 @@ def header_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", cleaning.header_key_of(header).alias("header"))
 
 
-_HOURS = ["'7'", "'7.0'", "'7.5'", "'x'", "CAST(NULL AS VARCHAR)"]
-
-
 @query(
     f"""{MARKET_SQL}
 SELECT CAST(delivery_date AS VARCHAR) AS delivery_date,
@@ -148,10 +145,6 @@ def nan_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conforming.nan_columns_to_null(rows)
 
 
-# What the check does to hour, quantity and id of a row, by its keys.
-_BAD_HOUR = ["hour_ending", "'25'", "'0'", "'3.5'", "CAST(NULL AS VARCHAR)"]
-
-
 def _suspect_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     awards = market_tables(spark, sf_dir).bid_awards
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
@@ -168,7 +161,7 @@ def _suspect_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SUSPECT_SQL = f"""{MARKET_SQL}, suspect AS (SELECT CAST(delivery_date AS VARCHAR) AS delivery_date,
-  {_cycle_sql("l_partkey", ["CAST(hour_ending AS VARCHAR)", *_BAD_HOUR[1:]])} AS hour_ending, settlement_point,
+  {_cycle_sql("l_partkey", ["CAST(hour_ending AS VARCHAR)", "'25'", "'0'", "'3.5'", "CAST(NULL AS VARCHAR)"])} AS hour_ending, settlement_point,
   CASE WHEN l_suppkey % 7 <> 0 THEN qse_name END AS qse_name,
   {_cycle_sql("l_suppkey", ["CAST(award_mw AS VARCHAR)", "'n/a'", "CAST(NULL AS VARCHAR)"])} AS award_mw, award_price,
   CASE WHEN l_suppkey % 11 <> 0 THEN order_id END AS order_id FROM bid_awards)"""

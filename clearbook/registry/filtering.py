@@ -120,12 +120,10 @@ def active_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{MARKET_SQL}
-SELECT {_PRICE_SQL} FROM prices WHERE settlement_point IN (SELECT settlement_point FROM gap)""".replace(
-        "\nSELECT",
-        """, gap AS (SELECT settlement_point FROM bid_awards WHERE award_mw > 49 AND settlement_point <> 'view'
-  UNION SELECT settlement_point FROM offer_awards WHERE award_mw > 49 AND settlement_point = 'click')\nSELECT""",
-    )
+    f"""{MARKET_SQL}, active AS (
+  SELECT settlement_point FROM bid_awards WHERE award_mw > 49 AND settlement_point <> 'view'
+  UNION SELECT settlement_point FROM offer_awards WHERE award_mw > 49 AND settlement_point = 'click')
+SELECT {_PRICE_SQL} FROM prices WHERE settlement_point IN (SELECT settlement_point FROM active)"""
 )
 def active_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices at points where large awards were made."""

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clearbook import schemas
 from clearbook.operators.bounded import SmallList, keep_listed
 from clearbook.operators.conform import conform_table
+from clearbook.operators.filters import drop_empty
 from clearbook.operators.prices import hourly_by_point
 from clearbook.plans.classic import MarketTables, classic_final
 from clearbook.sources.tables import DATE
@@ -21,13 +22,14 @@ from clearbook.sources.tables import DATE
 def stream_files(spark: SparkSession, source: str, header: list[str], table: str, files_per_trigger: int = 1_000) -> DataFrame:
     """Stream of typed rows out of the CSV files that appear in a folder.
 
-    ``header`` is the published header of the product; a file with another header fails the stream.
+    ``header`` is the published header of the product; a file with another header fails the stream. Rows without any
+    value are left out.
     """
     raw = T.StructType([T.StructField(name, T.StringType()) for name in header])
     lines = spark.readStream.schema(raw).options(
         header=True, enforceSchema=False, maxFilesPerTrigger=files_per_trigger
     )
-    return conform_table(lines.csv(source), table)
+    return conform_table(drop_empty(lines.csv(source)), table)
 
 
 def ingest_files(

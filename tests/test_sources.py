@@ -111,6 +111,18 @@ def test_nested_archives(spark, rows, tmp_path):
     assert rows(archives.archive_rows(chunks, "offers")) == []
 
 
+def test_price_members(spark, rows, tmp_path):
+    members = {
+        "a.csv": f"{PRICE_HEADER}\n2024-01-01,1,2,HB,LZ,5.5,N\n, ,,,,\"\",\n",
+        "b.csv": "SettlementPointName\nHC\n",
+        "c.csv": "SettlementPoint,SettlementPointName\nX,Y\n",
+        "d.csv": "other,columns\n1,2\n",
+    }
+    path = write(tmp_path / "zips", {"z.zip": zipped({"in.zip": zipped(members)})})
+    prices = archives.archive_rows(archives.archive_chunks(spark, path), "prices", {"": "prices"})
+    assert rows(prices, "settlement_point", "price") == [("HB", "5.5"), ("Y", None)]
+
+
 def test_long_members_come_in_chunks(spark, tmp_path):
     count = archives.LINES_PER_CHUNK * 2 + 5
     body = AWARD_HEADER + "\n" + "".join(f"2024-01-01,1,HB,QA,1,1,b{i}\n" for i in range(count))
