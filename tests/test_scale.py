@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from clearbook import schemas, standin
+from clearbook import standin
 from clearbook.operators import bounded, dedup, joins, prices, skew
 from clearbook.plans import paired
 from clearbook.plans.classic import MarketTables, classic_final
