@@ -76,12 +76,15 @@ class ItemIndex:
         blocks = codes.view(np.uint8).reshape(len(codes), BLOCKS)
         #: For each block and value: which items have the block within the flips that one block may differ by.
         self.table = [[np.flatnonzero(near[value][blocks[:, b]]) for value in range(256)] for b in range(BLOCKS)]
+        #: Sorted shingles of the items of each width and size, and which slots those of a width fall in; size 0 has all.
         self.known, self.slots = {}, {}
         for width, sizes in self.sizes.items():
-            known = np.unique(np.array([h for of in sizes.values() for i in of for h in self.shingles[i]], np.uint64))
-            slots = np.zeros(SLOTS, bool)
-            slots[known & np.uint64(SLOTS - 1)] = True
-            self.known[width], self.slots[width] = known, slots
+            self.slots[width] = np.zeros(SLOTS, bool)
+            for count, of in sizes.items():
+                known = np.unique(np.array([h for i in of for h in self.shingles[i]], np.uint64))
+                self.slots[width][known & np.uint64(SLOTS - 1)] = True
+                self.known[width, count] = known
+            self.known[width, 0] = np.unique(np.concatenate([self.known[width, count] for count in sizes]))
         self._ready = True
 
     def near(self, code: int) -> list[int]:
@@ -102,15 +105,26 @@ class ItemIndex:
             if len(words) < width:
                 continue
             hashes = rolled(words, width)
-            hit = self.slots[width][hashes & np.uint64(SLOTS - 1)]
-            if not hit.any():
+            places = np.flatnonzero(self.slots[width][hashes & np.uint64(SLOTS - 1)])
+            if not len(places):
                 continue
-            places = np.flatnonzero(hit)
-            hit[places] = np.isin(hashes[places], self.known[width])
-            seen = np.concatenate(([0], np.cumsum(hit)))
+            seen_hashes = hashes[places]
+            every = self.known[width, 0]
+            real = every[np.minimum(np.searchsorted(every, seen_hashes), len(every) - 1)] == seen_hashes
+            if not real.any():
+                continue
+            places, seen_hashes = places[real], seen_hashes[real]
             for count in sizes:
+                known = self.known[width, count]
+                at = np.minimum(np.searchsorted(known, seen_hashes), len(known) - 1)
+                own_places = places[known[at] == seen_hashes]
                 # Overlap / (2 * count - overlap) >= similarity needs at least this overlap.
                 least = max(1, math.ceil(2 * self.similarity * count / (1 + self.similarity) - 1e-9))
+                if len(own_places) < least or len(hashes) < count:
+                    continue
+                hit = np.zeros(len(hashes) + 1, np.int32)
+                hit[own_places + 1] = 1
+                seen = np.cumsum(hit)
                 for at in np.flatnonzero(seen[count:] - seen[:-count] >= least).tolist():
                     window = hashes[at : at + count]
                     own = None
