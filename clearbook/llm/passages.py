@@ -19,6 +19,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +47,9 @@ def band_keys(shingles: np.ndarray) -> list[int]:
     """One key a band from the smallest of the shingles under ``BANDS * ROWS`` hash functions."""
     least = np.full(len(MULTIPLIERS), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 4096):
-        part = shingles[start : start + 4096, None] * MULTIPLIERS[None, :]
+        part = MULTIPLIERS[:, None] * shingles[None, start : start + 4096]
         part ^= part >> np.uint64(29)
-        least = np.minimum(least, part.min(axis=0))
+        least = np.minimum(least, part.min(axis=1))
     keys = rolled(least, 1).reshape(BANDS, ROWS)
     mixed = keys[:, 0]
     for row in range(1, ROWS):
@@ -65,6 +66,10 @@ def anchors(shingles: np.ndarray, step: int) -> np.ndarray:
     return np.unique(views.argmin(axis=1) + np.arange(len(views)))
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def units_of(text: str | None, window: int, step: int, least_words: int) -> list[tuple[int, int, int, list[int] | None]]:
     """(node, first word, words, band keys) of the paragraphs of a text, and of its windows, which have no band keys."""
     if not text:
@@ -79,7 +84,7 @@ def units_of(text: str | None, window: int, step: int, least_words: int) -> list
     for line in lines:
         if len(line) >= least_words:
             own = shingles[at : at + len(line) - SHINGLE + 1]
-            node = int(rolled(own, len(own)).view(np.int64)[0])
+            node = _signed(xxhash.xxh3_64_intdigest(own.tobytes()))
             units.append((node, at, len(line), band_keys(own)))
         if len(line) >= window:
             edges += [at, at + len(line) - window]
@@ -87,8 +92,10 @@ def units_of(text: str | None, window: int, step: int, least_words: int) -> list
     starts = np.unique(np.concatenate((places, edges)).astype(np.int64))
     starts = starts[starts <= len(words) - window]
     if len(starts):
-        whole = rolled(words, window).view(np.int64)
-        units.extend((int(node), start, window, None) for node, start in zip(whole[starts].tolist(), starts.tolist()))
+        data = words.tobytes()
+        for start in starts.tolist():
+            node = _signed(xxhash.xxh3_64_intdigest(data[8 * start : 8 * (start + window)]))
+            units.append((node, start, window, None))
     return units
 
 
