@@ -1,8 +1,8 @@
 """Toxicity as ordered grades: cumulative-link (proportional odds) regression on the words of a text.
 
 P(grade > k) = sigmoid(score - threshold_k): one weight per word, shared by all thresholds, and thresholds in ascending
-order. The expected severity is the sum of these probabilities over k. The words are those that tell toxic from other
-labelled texts significantly; a word counts by log(1 + occurrences).
+order. The expected severity is the sum of these probabilities over k. The words, and beginnings of words, are those that
+tell toxic from other labelled texts significantly; one counts by log(1 + occurrences).
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from clearbook.llm.shared import batches
 
+#: Letters of a word's beginnings that count as features of their own, for words the labels do not have.
+STEMS = (3, 4, 5)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -30,12 +32,17 @@ class SeverityModel:
 
 
 def word_counts(text: str | None) -> Counter:
-    """Runs of letters in lower case, with their number."""
-    return Counter(_WORDS.findall(text.lower())) if text else Counter()
+    """Runs of letters in lower case, and the first letters of longer ones with a star, with their number."""
+    found = Counter(_WORDS.findall(text.lower())) if text else Counter()
+    for word, n in list(found.items()):
+        for size in STEMS:
+            if len(word) > size:
+                found[word[:size] + "*"] += n
+    return found
 
 
 def training_words(docs: DataFrame, grades: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, grade, total, words, counts) of up to ``rows`` graded and as many ungraded (0) texts, by a hash of doc_id.
+    """(doc_id, grade, words, counts) of up to ``rows`` graded and as many ungraded (0) texts, by a hash of doc_id.
 
     A doc_id with several grades takes the largest; null grades and ids teach nothing.
     """
@@ -48,7 +55,6 @@ def training_words(docs: DataFrame, grades: DataFrame, rows: int) -> DataFrame:
         [
             ("doc_id", pa.int64()),
             ("grade", pa.int32()),
-            ("total", pa.int64()),
             ("words", pa.list_(pa.string())),
             ("counts", pa.list_(pa.int64())),
         ]
@@ -59,13 +65,12 @@ def training_words(docs: DataFrame, grades: DataFrame, rows: int) -> DataFrame:
         return {
             "doc_id": batch.column(0),
             "grade": batch.column(1).cast(pa.int32()),
-            "total": [c.total() for c in counted],
             "words": [list(c) for c in counted],
             "counts": [list(c.values()) for c in counted],
         }
 
     return chosen.mapInArrow(
-        batches(count, schema), "doc_id long, grade int, total long, words array<string>, counts array<long>"
+        batches(count, schema), "doc_id long, grade int, words array<string>, counts array<long>"
     )
 
 
@@ -98,7 +103,7 @@ def fit(
     def narrow(batch: pa.RecordBatch) -> dict:
         pairs = [
             [(at[w], n) for w, n in zip(words, counts) if w in at]
-            for words, counts in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())
+            for words, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
         ]
         return {
             "doc_id": batch.column(0),
@@ -125,7 +130,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _cumulative_link(
-    rows: list[tuple[int, list[int], list[int]]], words: int, shares: dict[int, float], steps: int, ridge: float = 1e-3
+    rows: list[tuple[int, list[int], list[int]]], words: int, shares: dict[int, float], steps: int, ridge: float = 1e-5
 ) -> tuple[np.ndarray, tuple[float, ...]]:
     """Weights and ascending thresholds by Adam on the mean log-likelihood; rows count by the share of their grade."""
     grades = sorted(shares)
@@ -199,20 +204,19 @@ def score_severity(docs: DataFrame, model: SeverityModel) -> DataFrame:
 
 
 def graded(docs: DataFrame, labels: DataFrame, rows: int = 5000, levels: int = 3) -> DataFrame:
-    """(doc_id, grade) from labels that only say toxic or not: toxic texts are graded 1 to ``levels`` by how dense the
-    words that tell toxic texts are in them, in equal parts; other labelled texts have grade 0.
+    """(doc_id, grade) from labels that only say toxic or not: toxic texts are graded 1 to ``levels`` by how much of the
+    words that tell toxic texts they hold, in about equal parts; other labelled texts have grade 0.
     """
     yes_no = labels.select("doc_id", F.col("toxic").cast("int").alias("grade"))
     table = training_words(docs, yes_no, rows)
     telling = table.sparkSession.createDataFrame([(w,) for w in telling_words(table)], "word string")
-    listed = table.where("grade > 0").select("doc_id", "total", F.explode(F.arrays_zip("words", "counts")).alias("pair"))
-    counted = listed.select("doc_id", "total", F.col("pair.words").alias("word"), F.col("pair.counts").alias("n"))
-    density = counted.join(F.broadcast(telling), "word").groupBy("doc_id").agg(
-        (F.sum("n") / F.max("total")).alias("density")
-    )
-    cuts = density.agg(F.percentile_approx("density", [i / levels for i in range(1, levels)], 10_000)).first()[0] or []
+    listed = table.where("grade > 0").select("doc_id", F.explode(F.arrays_zip("words", "counts")).alias("pair"))
+    counted = listed.select("doc_id", F.col("pair.words").alias("word"), F.col("pair.counts").alias("n"))
+    held = counted.join(F.broadcast(telling), "word").groupBy("doc_id").agg(F.sum(F.log1p("n")).alias("amount"))
+    toxic = table.where("grade > 0").select("doc_id").join(held, "doc_id", "left").fillna(0.0, "amount")
+    cuts = toxic.agg(F.percentile_approx("amount", [i / levels for i in range(1, levels)], 10_000)).first()[0] or []
     grade = F.lit(1)
     for cut in cuts:
-        grade = grade + (F.col("density") > cut).cast("int")
+        grade = grade + (F.col("amount") > cut).cast("int")
     clean = table.where("grade = 0").select("doc_id", F.lit(0).alias("grade"))
-    return density.select("doc_id", grade.alias("grade")).unionByName(clean)
+    return toxic.select("doc_id", grade.alias("grade")).unionByName(clean)
