@@ -102,7 +102,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             return source
         if isinstance(field.dataType, T.BooleanType):
             return parse_boolean(source, present[field.name]).alias(field.name)
-        return to_type(source, field.dataType).alias(field.name)
+        return to_type(source, field.dataType, present[field.name]).alias(field.name)
 
     return df.select([column(field) for field in schema])
 

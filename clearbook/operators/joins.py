@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from clearbook import schemas
 from clearbook.operators.bounded import SmallList, drop_listed, keep_listed
 from clearbook.operators.dedup import keep_first
-from clearbook.operators.skew import HotKeys, left_join_hot_right, null_safe_join, pair_join_hot_left
+from clearbook.operators.skew import left_join_hot_right, null_safe_join, pair_join_hot
 
 AWARD_ORDER_KEYS = ["order_id", "delivery_date", "hour_ending"]
 LIST_KEY = "_key"
 
 
 def award_order_left(
-    awards: DataFrame, orders: DataFrame, keys: list[str] | None = None, hot: HotKeys | None = None
+    awards: DataFrame, orders: DataFrame, keys: list[str] | None = None, hot: SmallList | None = None
 ) -> DataFrame:
     """Every award with the order curves of the same id, date and hour; several such orders give several rows.
 
@@ -28,7 +28,7 @@ def award_order_left(
     """
     keys = keys or AWARD_ORDER_KEYS
     shared = [name for name in orders.columns if name in awards.columns and name not in keys]
-    return left_join_hot_right(awards, orders.drop(*shared), keys, hot or {})
+    return left_join_hot_right(awards, orders.drop(*shared), keys, hot)
 
 
 def award_price_left(awards: DataFrame, prices: DataFrame) -> DataFrame:
@@ -71,14 +71,14 @@ def combine(orders: DataFrame, awards: DataFrame, order: list[str | Column], sid
 
 
 def pair_bids_with_offers(
-    combined_bids: DataFrame, combined_offers: DataFrame, hot: HotKeys | None = None
+    combined_bids: DataFrame, combined_offers: DataFrame, hot: SmallList | None = None
 ) -> DataFrame:
     """Every bid award with every offer award of the same participant, point, date and hour; NULL keys match.
 
-    ``hot`` are the (date, hour, point, participant) cells with very many bid awards, from ``hot_keys``; their pairs
-    are made by many tasks.
+    ``hot`` are the (date, hour, point, participant) cells with very many pairs, from ``hot_cells``; these are made by
+    many tasks.
     """
-    return pair_join_hot_left(combined_bids, combined_offers, schemas.PAIR_KEYS, hot or {})
+    return pair_join_hot(combined_bids, combined_offers, schemas.PAIR_KEYS, hot)
 
 
 def first_price(prices: DataFrame, order: list[str | Column]) -> DataFrame:

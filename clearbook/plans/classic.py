@@ -85,7 +85,7 @@ def classic_final(
         awards = at_common_pairs(awards, pairs)
     orders = _both_sides(order_summary(tables.bids, max_level), order_summary(tables.offers, max_level))
     keys = ["side", *AWARD_ORDER_KEYS]
-    hot = hot_keys(orders.dropna(subset=keys), keys, rows_per_salt) if rows_per_salt else {}
+    hot = hot_keys(orders.dropna(subset=keys), keys, rows_per_salt) if rows_per_salt else None
     with_orders = award_order_left(awards, orders, keys, hot)
     return _final_columns(award_price_left(with_orders, tables.prices))
 

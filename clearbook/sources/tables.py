@@ -24,6 +24,7 @@ STORED = {
     "offers": schemas.ORDERS,
     "offer_awards": schemas.AWARDS,
     "prices": schemas.PRICES,
+    "price_intervals": schemas.PRICES,
     "final": schemas.CLASSIC_FINAL,
     "ledger": schemas.LEDGER,
 }
@@ -75,16 +76,23 @@ def append_tables(frames: dict[str, DataFrame | None], database: str, loaded_at:
 
 
 def overwrite_dates(df: DataFrame, table: str, loaded_at: dt.datetime) -> None:
-    """Replace the delivery dates the rows belong to and leave all others: repeating it changes nothing."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
+    """Replace the delivery dates the rows belong to and leave all others: repeating it changes nothing.
+
+    The files are written to the table's folder with a write option; no setting of the session is changed, so writers of
+    one session do not disturb each other.
+    """
     spark = df.sparkSession
-    before = spark.conf.get(setting)
-    # Inserts into a catalog table take this from the session only, a write option is not looked at.
-    spark.conf.set(setting, "dynamic")
-    try:
-        _in_table_order(stamp(df, loaded_at), table).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(setting, before)
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter(F.col("col_name") == "Location")
+    writer = _in_table_order(stamp(df, loaded_at), table).write.mode("overwrite").partitionBy(DATE)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(described.first()["data_type"])
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate files, wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_by_date(df: DataFrame, path: str, mode: str = "append", column: str = DATE) -> None:
@@ -92,6 +100,12 @@ def write_by_date(df: DataFrame, path: str, mode: str = "append", column: str =
     df.hint("rebalance", F.col(column)).write.mode(mode).partitionBy(column).parquet(path)
 
 
+def replace_dates(df: DataFrame, path: str, column: str = DATE) -> None:
+    """Replace the dates of a folder that the rows belong to and leave all others: repeating it changes nothing."""
+    writer = df.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def write_by_year(df: DataFrame, path: str, date: str = DATE, clear: bool = False) -> None:
     """Write a folder with one partition per calendar year, optionally clearing it first."""
     yearly = with_year(df, date).hint("rebalance", F.col("year"))

@@ -38,10 +38,23 @@ def skewed(spark):
 def test_hot_keys(spark):
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
     hot = skew.hot_keys(df, ["k", "v"], rows_per_salt=50)
-    assert list(hot.values()) == [7]
-    assert set(hot) == {df.filter("k = -1").select(F.xxhash64("k", "v")).first()[0]}
-    assert skew.hot_keys(df, ["k", "v"]) == {}
-    assert skew.hot_keys(df.limit(0), ["k"], 1) == {}
+    found = df.filter("k = -1").select(F.xxhash64("k", "v")).first()[0]
+    assert [tuple(r) for r in hot.frame.collect()] == [(found, 7)]
+    assert skew.hot_keys(df, ["k", "v"]).is_empty
+    assert skew.hot_keys(df.limit(0), ["k"], 1).is_empty
+
+
+def test_a_hot_key_may_be_a_small_share(spark):
+    keys = F.when(F.col("id") < 900, F.lit(-1)).otherwise(F.col("id"))
+    df = spark.range(100_000).select(keys.alias("k"))
+    assert [r._salts for r in skew.hot_keys(df, ["k"], rows_per_salt=100).frame.collect()] == [9]
+    many = spark.range(100_000).select((F.col("id") % 250).alias("k"))
+    assert skew.hot_keys(many, ["k"], rows_per_salt=100).frame.count() == 250
+
+
+def hot_list(spark, rows, names):
+    layout = "_key_hash long, " + ", ".join(f"{name} int" for name in names)
+    return bounded.SmallList(spark.createDataFrame(rows, layout))
 
 
 def test_left_join_with_hot_right_keys(spark, rows):
@@ -51,17 +64,35 @@ def test_left_join_with_hot_right_keys(spark, rows):
     plain = rows(left.join(right, "k", "left"))
     hash_of = {r.k: r.h for r in left.select("k", F.xxhash64("k").alias("h")).collect()}
     found = skew.hot_keys(right, ["k"], rows_per_salt=5)
-    assert found == {hash_of["a"]: 12}
+    assert [tuple(r) for r in found.frame.collect()] == [(hash_of["a"], 12)]
     # Any set of keys taken for hot gives the same rows, also keys without a match.
-    for hot in (found, {hash_of["z"]: 3, hash_of["b"]: 200}, {hash_of[None]: 4}):
+    others = ([(hash_of["z"], 3), (hash_of["b"], 200)], [(hash_of[None], 4)])
+    for hot in (found, *(hot_list(spark, other, ["_salts"]) for other in others)):
         assert rows(skew.left_join_hot_right(left, right, ["k"], hot)) == plain
 
 
-def test_salts_spread_copies(spark):
-    right = spark.createDataFrame([("a", 7)] * 400, "k string, r int")
-    hot = skew.hot_keys(right, ["k"], rows_per_salt=50)
-    counts = [r["count"] for r in skew._spread(right, ["k"], hot, F.rand(17)).groupBy("_salt").count().collect()]
-    assert len(counts) == 8 and max(counts) < 120
+def test_salts_depend_on_the_row_only(spark):
+    right = spark.range(4000).select(F.lit("a").alias("k"), (F.col("id") % 1000).alias("r"))
+    drawn = right.withColumn("salt", skew.content_draw(right.columns, F.lit(8)))
+    assert drawn.groupBy("r").agg(F.count_distinct("salt").alias("n")).filter("n > 1").isEmpty()
+    counts = [r["count"] for r in drawn.groupBy("salt").count().collect()]
+    assert len(counts) == 8 and max(counts) < 700
+
+
+@pytest.mark.parametrize("offers, bids", [(900, 20), (20, 900), (150, 150)])
+def test_pairs_of_a_dense_cell_are_cut_into_tiles(spark, rows, offers, bids):
+    """One cell of many offers and few bids, or the other way round; no task makes much more than its share."""
+    left = spark.range(bids).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("l"))
+    right = spark.range(offers).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("r"))
+    hot = skew.hot_cells(left, right, ["k"], pairs_per_task=1500)
+    (cell,) = hot.frame.collect()
+    assert cell._across * cell._down >= offers * bids / 1500
+    joined = skew.pair_join_hot(left, right, ["k"], hot)
+    assert joined.count() == joined.distinct().count() == offers * bids
+    sides = skew.with_spread(left, ["k"], hot), skew.with_spread(right, ["k"], hot)
+    column = sides[0].groupBy(skew.content_draw(["k", "l"], F.col("_across")).alias("c")).count().agg(F.max("count")).first()[0]
+    row = sides[1].groupBy(skew.content_draw(["k", "r"], F.col("_down")).alias("c")).count().agg(F.max("count")).first()[0]
+    assert column * row <= 6 * 1500
 
 
 @pytest.mark.parametrize("rows_per_salt", [None, 3, 10])
@@ -72,9 +103,9 @@ def test_classic_is_the_same_under_skew(spark, rows, skewed, rows_per_salt):
     assert plain.filter("source_type = 'Bid'").count() == 120 + 30 + 1 + 52
 
 
-@pytest.mark.parametrize("rows_per_salt", [None, 3, 10])
-def test_pairs_are_the_same_under_skew(spark, rows, skewed, rows_per_salt):
-    final = paired.paired_final(skewed, ["seq"], ["interval"], rows_per_salt=rows_per_salt)
+@pytest.mark.parametrize("pairs_per_task", [None, 3, 100])
+def test_pairs_are_the_same_under_skew(spark, rows, skewed, pairs_per_task):
+    final = paired.paired_final(skewed, ["seq"], ["interval"], pairs_per_task=pairs_per_task)
     columns = ["hour_ending", "settlement_point", "qse_name", "bid_id", "offer_id", "bid_award_mw", "bid_mw1", "offer_mw1"]
     expected = brute_force_pairs(skewed)
     assert len(expected) > 1000 and rows(final, *columns, "market_price") == expected
