@@ -66,14 +66,21 @@ def to_int(value: Column) -> Column:
     return F.when(number == F.floor(number), number).try_cast("int")
 
 
-def to_type(value: Column, dtype: T.DataType) -> Column:
-    """Tolerant cast to a column type of the table layouts."""
+def to_type(value: Column, dtype: T.DataType, source: T.DataType | None = None) -> Column:
+    """Tolerant cast to a column type of the table layouts; ``source`` is the type of the value, where it is known.
+
+    Dates and timestamps become dates by their type. Text that begins with an ISO date and goes on with a time of day is
+    that date.
+    """
     from clearbook.functions.dates import parse_market_date
 
     if isinstance(dtype, T.IntegerType):
         return to_int(value)
     if isinstance(dtype, T.DateType):
-        return parse_market_date(value.cast("string"))
+        if isinstance(source, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return value.cast("date")
+        text = value.cast("string")
+        return parse_market_date(F.regexp_replace(text, r"^(\s*\d{4}-\d{2}-\d{2})[T ]\s*\d{1,2}:\d{2}.*$", "$1"))
     if isinstance(dtype, T.StringType):
         return value.cast("string")
     return value.try_cast(dtype)

@@ -66,7 +66,7 @@ def parse_bound(text: str, is_start: bool) -> dt.date:
         if layout == "%Y-%m-%d" or is_start:
             return parsed
         return (parsed.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
-    raise ValueError(f"Date '{text}' must be in YYYY-MM-DD or YYYY-MM format.")
+    raise ValueError(f"{text!r} is neither a day such as 2024-01-31 nor a month such as 2024-01")
 
 
 def shift(date: Column, days: int = 0, months: int = 0) -> Column:
@@ -130,18 +130,23 @@ def split_at_cutoff(start: Column, end: Column, cutoff: str | dt.date) -> Column
 
 
 def batch_number(
-    date: Column, start: str | dt.date | Column, end: str | dt.date | Column, days: int, mode: str = "forward"
+    date: Column,
+    start: str | dt.date | Column,
+    end: str | dt.date | Column,
+    days: int,
+    mode: str = "forward",
+    max_days: int | None = MAX_BATCH_DAYS,
 ) -> Column:
     """Batch a date falls into.
 
-    ``forward``: runs of ``days`` (100 at most) from the start. ``first_day``: the first day alone, then runs of
+    ``forward``: runs of ``days``, but of ``max_days`` at most unless that is None, from the start. ``first_day``: the first day alone, then runs of
     ``days``; one single batch when the range has at most ``days`` + 1 days. ``backward``: runs of ``days`` from the
     end, newest run first.
     """
     start, end = _as_column(start), _as_column(end)
     offset = F.datediff(date, start)
     if mode == "forward":
-        number = F.floor(offset / F.lit(min(days, MAX_BATCH_DAYS)))
+        number = F.floor(offset / F.lit(days if max_days is None else min(days, max_days)))
     elif mode == "first_day":
         later = F.lit(1) + F.floor((offset - 1) / F.lit(days))
         number = F.when((F.datediff(end, start) <= days) | (offset == 0), F.lit(0)).otherwise(later)
@@ -153,13 +158,18 @@ def batch_number(
 
 
 def date_batches(
-    spark: SparkSession, start: str | dt.date, end: str | dt.date, days: int, mode: str = "forward"
+    spark: SparkSession,
+    start: str | dt.date,
+    end: str | dt.date,
+    days: int,
+    mode: str = "forward",
+    max_days: int | None = MAX_BATCH_DAYS,
 ) -> DataFrame:
     """Batches of a date range, ``batch``, ``batch_start``, ``batch_end``; raises when the range is reversed."""
     if dt.date.fromisoformat(str(start)) > dt.date.fromisoformat(str(end)):
-        raise ValueError(f"Start date {start} is after end date {end}")
+        raise ValueError(f"range ends ({end}) before it begins ({start})")
     labelled = days_of_range(spark, start, end).withColumn(
-        "batch", batch_number(F.col("day"), start, end, days, mode)
+        "batch", batch_number(F.col("day"), start, end, days, mode, max_days)
     )
     return bounds_by(labelled, ["batch"], "day", "batch_start", "batch_end")
 

@@ -15,11 +15,11 @@ def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+    return F.try_variant_get(value, "$", _OBJECT).isNotNull()
 
 
 def _is_list(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("ARRAY")
+    return F.try_variant_get(value, "$", _LIST).isNotNull()
 
 
 def page_items(root: Column, keep: str = "objects") -> Column:
@@ -59,8 +59,9 @@ def flatten_pages(pages: DataFrame, page: str = "page", keep: str = "objects", c
 
 
 def item_field(name: str, dtype: str = "string", item: str = "item") -> Column:
-    """Field of an object record."""
-    return F.try_variant_get(F.col(item), f"$.{name}", dtype).alias(name)
+    """Field of an object record; the name may hold dots, blanks and one kind of quote."""
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get(F.col(item), f"$[{quote}{name}{quote}]", dtype).alias(name)
 
 
 def object_rows(items: DataFrame, names: list[str], item: str = "item") -> DataFrame:
