@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clearbook import schemas, session
 from clearbook.operators import conform, filters, joins
 from clearbook.operators import prices as price_ops
-from clearbook.plans import backfill, monthly, paired, price_load
+from clearbook.plans import backfill, monthly, paired, price_load, update
 from clearbook.sources import delimited, participants, tables
 from clearbook.streaming import ingest
 from tests.market import DAY, award, market, order, price
@@ -83,14 +83,18 @@ def test_price_load(spark, rows, database):
         "settlementPointType string, settlementPointPrice double, dstFlag string, seq int",
     )
     table = f"{database}.prices"
-    price_load.load_prices(records.limit(0), database, "seq", NOW)
+    price_load.load_prices(records.limit(0), database, NOW)
     assert spark.table(table).isEmpty()
-    price_load.load_prices(records, database, "seq", NOW, only_awarded=True)
+    price_load.load_prices(records, database, NOW, only_awarded=True)
     assert rows(spark.table(table), "delivery_date", "hour_ending", "interval", "price") == [(dt.date(2024, 7, 1), 1, 1, 30.0)]
-    price_load.load_prices(records, database, "seq", NOW)
-    assert rows(spark.table(table), "interval", "price") == [(1, 30.0), (2, 40.0)]
+    price_load.load_prices(records, database, NOW)
+    assert rows(spark.table(table), "interval", "price") == [(1, 30.0)]
+    later = records.filter("seq = 3").withColumns({"deliveryInterval": F.lit(4), "settlementPointPrice": F.lit(90.0)})
+    other = later.withColumns({"deliveryInterval": F.lit(1), "settlementPointName": F.lit("SP2")})
+    price_load.load_prices(later.unionByName(other), database, NOW)
+    assert rows(spark.table(table), "settlement_point", "interval", "price") == [("SP1", 1, 50.0), ("SP2", 1, 90.0)]
     with pytest.raises(ValueError, match="Missing required fields"):
-        price_load.load_prices(records.drop("dstFlag"), database, "seq", NOW)
+        price_load.load_prices(records.drop("dstFlag"), database, NOW)
 
 
 def test_backfill_resumes_and_repeats_nothing(spark, rows, database):
@@ -165,7 +169,58 @@ def test_monthly_load(spark, rows, database, tmp_path):
     assert monthly.load_months(*run) == {}
     assert spark.table(f"{database}.bids").count() == 1
     published = conform.publish(final, schemas.PAIRED_NAMES["final"])
-    assert "MULTIHOURBLOCK_OFFER" in published.columns and published.columns[-1] == "DSTFLAG"
+    assert "MULTIHOURBLOCK_OFFER" in published.columns and published.columns[-2:] == ["DSTFLAG", "INSERTEDAT"]
+
+
+def test_two_months_settle_from_what_is_stored(spark, rows, database, tmp_path):
+    """Prices recorded with an earlier month, and prices that come after the awards, settle like any other."""
+
+    def price_zip(day):
+        return zipped({"spp.zip": zipped({"cdr_SPP.csv": f"{PRICE_HEADER}\n{day},1,1,HB,LZ,10,N\n"})})
+
+    folder = write(
+        tmp_path / "drop",
+        {
+            "jan.zip": zipped(day_bundle("15-JAN-24", "01/15/2024")),
+            "feb.zip": zipped(day_bundle("15-FEB-24", "02/15/2024") | {"bad.zip": b"PK damaged"}),
+            "mar.zip": zipped(day_bundle("15-MAR-24", "03/15/2024")),
+            "spp1.zip": price_zip("01/15/2024"), "spp2.zip": price_zip("02/15/2024"), "spp3.zip": price_zip("03/15/2024"),
+        },
+    )
+    listed = [
+        ("DAM", "d1", "2024-03-20T00", "a", f"{folder}/jan.zip"), ("DAM", "d2", "2024-04-20T00", "b", f"{folder}/feb.zip"),
+        ("DAM", "d3", "2024-05-20T00", "c", f"{folder}/mar.zip"),
+        ("SPP", "s1", "2024-01-31T00", "e", f"{folder}/spp1.zip"), ("SPP", "s2", "2024-02-27T00", "f", f"{folder}/spp2.zip"),
+        ("SPP", "s3", "2024-03-28T00", "g", f"{folder}/spp3.zip"),
+    ]
+    layout = "product string, doc_id string, post_datetime string, friendly_name string, path string"
+
+    def load(known, start, end):
+        files = spark.createDataFrame(known, layout)
+        return monthly.load_months(spark, files, database, str(tmp_path / "out"), start, end, 60, NOW)
+
+    final = lambda: rows(spark.read.parquet(str(tmp_path / "out/final")), "delivery_date", "market_price")
+    days = [dt.date(2024, month, 15) for month in (1, 2, 3)]
+    load(listed[:5], "2024-01-15", "2024-01-20")
+    assert final() == [(days[0], 10.0)]
+    load(listed[:5], "2024-02-15", "2024-02-20")
+    assert final() == [(day, 10.0) for day in days[:2]]
+    assert [r.reason for r in spark.read.parquet(str(tmp_path / "out/skipped")).collect()] == ["archive: BadZipFile"]
+    load(listed[:5], "2024-03-15", "2024-03-20")
+    assert final() == [(day, 10.0) for day in days[:2]]
+    load(listed, "2024-03-15", "2024-03-20")
+    assert final() == [(day, 10.0) for day in days]
+    assert load(listed, "2024-03-15", "2024-03-20") == {}
+
+
+def test_update_is_stored_once(spark, rows, database, small, tmp_path):
+    dates = ("2024-01-01", "2024-01-31")
+    for _ in range(2):
+        update.store_update(small, ["QA"], database, dates, dates, F.col("interval"), NOW)
+        written = monthly.settle_stored(spark, database, str(tmp_path / "out"), *dates, NOW)
+        counts = {name: spark.table(f"{database}.{name}").count() for name in ("bids", "bid_awards", "prices")}
+        assert counts == {"bids": 1, "bid_awards": 1, "prices": 1}
+        assert spark.read.parquet(written["final"]).count() == 1
 
 
 def test_write_paired_appends_every_table(spark, rows, small, tmp_path):
