@@ -177,7 +177,8 @@ _MW_OK = "(award_mw IS NULL OR TRY_CAST(award_mw AS DOUBLE) IS NOT NULL)"
     f"""{_SUSPECT_SQL}
 SELECT delivery_date, CAST(CAST(hour_ending AS DOUBLE) AS INTEGER) AS hour_ending, settlement_point, qse_name,
   CAST(award_mw AS DOUBLE) AS award_mw, award_price, order_id
-FROM (SELECT * FROM suspect WHERE {_HOUR_OK} AND {_MW_OK} AND qse_name IS NOT NULL AND order_id IS NOT NULL)"""
+FROM (SELECT * FROM suspect WHERE {_HOUR_OK} AND {_MW_OK} AND qse_name IS NOT NULL
+  AND order_id IS NOT NULL AND settlement_point IS NOT NULL)"""
 )
 def validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that pass all rules, cast to the award layout."""
@@ -191,6 +192,7 @@ SELECT reason, count(*) AS n FROM (
   SELECT 'hour_ending: not a whole number in 1..24' AS reason FROM suspect WHERE NOT {_HOUR_OK}
   UNION ALL SELECT 'award_mw: not a number' FROM suspect WHERE NOT {_MW_OK}
   UNION ALL SELECT 'qse_name: missing' FROM suspect WHERE qse_name IS NULL
+  UNION ALL SELECT 'settlement_point: missing' FROM suspect WHERE settlement_point IS NULL
   UNION ALL SELECT 'order_id: missing' FROM suspect WHERE order_id IS NULL) GROUP BY reason"""
 )
 def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:

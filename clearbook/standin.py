@@ -14,8 +14,9 @@ from clearbook.plans.classic import MarketTables
 
 # The settlement points are the five event types.
 POINTS = ["click", "view", "error", "signup", "purchase"]
-# The offer market is taken to close at this hour, so that not every (date, hour) pair is common to all tables.
+# On every fifth day the offer market is taken to close at this hour, so that not every (date, hour) pair is common.
 LAST_OFFER_HOUR = 20
+LEVELS = range(1, 11)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +30,14 @@ def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "delivery_date": F.date_add(F.lit("2024-01-01").cast("date"), (F.col("l_orderkey") % 30).cast("int")),
             "hour_ending": (F.col("l_partkey") % 24 + 1).cast("int"),
-            "settlement_point": point,
-            "qse_name": F.concat(F.lit("Q"), (F.col("l_suppkey") % 20).cast("string")),
-            "order_id": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+            "settlement_point": F.when(F.col("l_suppkey") % 50 != 0, point),
+            "qse_name": F.when(
+                F.col("l_partkey") % 60 != 0, F.concat(F.lit("Q"), (F.col("l_suppkey") % 20).cast("string"))
+            ),
+            "order_id": F.when(
+                F.col("l_orderkey") % 70 != 0,
+                F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+            ),
         }
     )
 
@@ -42,15 +48,18 @@ ROW_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax"]
 _KEYS = ["delivery_date", "hour_ending", "settlement_point", "qse_name"]
 
 
+def _level(level: int) -> tuple[str, str]:
+    """Quantity and price of a level: the first with a quantity is 1 to 7, or there is none; prices may be missing."""
+    return (
+        f"CASE WHEN l_partkey % 8 < 7 AND l_partkey % 8 < {level} THEN l_quantity * {level} END AS mw{level}",
+        f"CASE WHEN (l_suppkey + {level}) % 7 <> 0 THEN l_extendedprice + {level} END AS price{level}",
+    )
+
+
 def _orders(lines: DataFrame) -> DataFrame:
-    empty = [f"CAST(NULL AS DOUBLE) AS {part}{level}" for level in range(3, 11) for part in ("mw", "price")]
     return lines.selectExpr(
         *_KEYS,
-        "CASE WHEN l_partkey % 3 <> 0 THEN l_quantity END AS mw1",
-        "l_extendedprice AS price1",
-        "CASE WHEN l_partkey % 2 = 0 THEN l_quantity * 2 END AS mw2",
-        "CASE WHEN l_suppkey % 7 <> 0 THEN l_tax END AS price2",
-        *empty,
+        *[column for level in LEVELS for column in _level(level)],
         "order_id",
         "CASE WHEN l_linenumber % 2 = 0 THEN 'Y' ELSE 'N' END AS multi_hour_block",
         "CASE WHEN l_linenumber % 3 = 0 THEN 'V' ELSE '' END AS block_curve",
@@ -80,27 +89,22 @@ def interval_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def market_tables(spark: SparkSession, sf_dir: str) -> MarketTables:
-    """The five stand-in tables; prices are raw intervals."""
+    """The five stand-in tables; prices are raw intervals. Every line is an award of one side, nine of ten an order."""
     lines = line_rows(spark, sf_dir)
-    bid, offer, open_lines = F.col("l_returnflag") == "A", F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
+    bid, offer, ordered = (F.col("l_linenumber") % 2 == 1), (F.col("l_linenumber") % 2 == 0), (F.col("l_partkey") % 10 != 9)
+    closed = (F.col("l_orderkey") % 5 == 0) & (F.col("hour_ending") > LAST_OFFER_HOUR)
     return MarketTables(
-        bids=_orders(lines.filter(bid & open_lines)),
+        bids=_orders(lines.filter(bid & ordered)),
         bid_awards=_awards(lines.filter(bid)),
-        offers=_orders(lines.filter(offer & open_lines & (F.col("hour_ending") <= LAST_OFFER_HOUR))),
+        offers=_orders(lines.filter(offer & ordered & ~closed)),
         offer_awards=_awards(lines.filter(offer)),
         prices=interval_prices(spark, sf_dir),
     )
 
 
-_LEVELS_SQL = ",\n    ".join(
-    f"CAST(NULL AS DOUBLE) AS {part}{level}" for level in range(3, 11) for part in ("mw", "price")
-)
+_LEVELS_SQL = ",\n    ".join(column for level in LEVELS for column in _level(level))
 
 _ORDERS_SQL = f"""SELECT delivery_date, hour_ending, settlement_point, qse_name,
-    CASE WHEN l_partkey % 3 <> 0 THEN l_quantity END AS mw1,
-    l_extendedprice AS price1,
-    CASE WHEN l_partkey % 2 = 0 THEN l_quantity * 2 END AS mw2,
-    CASE WHEN l_suppkey % 7 <> 0 THEN l_tax END AS price2,
     {_LEVELS_SQL},
     order_id,
     CASE WHEN l_linenumber % 2 = 0 THEN 'Y' ELSE 'N' END AS multi_hour_block,
@@ -117,15 +121,16 @@ MARKET_SQL = f"""WITH li AS (
   SELECT *,
     CAST(DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) AS DATE) AS delivery_date,
     CAST(l_partkey % 24 + 1 AS INTEGER) AS hour_ending,
-    CASE l_suppkey % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'view' WHEN 2 THEN 'error' WHEN 3 THEN 'signup'
-      ELSE 'purchase' END AS settlement_point,
-    'Q' || CAST(l_suppkey % 20 AS VARCHAR) AS qse_name,
-    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id
+    CASE WHEN l_suppkey % 50 = 0 THEN NULL ELSE CASE l_suppkey % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'view' WHEN 2 THEN 'error' WHEN 3 THEN 'signup'
+      ELSE 'purchase' END END AS settlement_point,
+    CASE WHEN l_partkey % 60 <> 0 THEN 'Q' || CAST(l_suppkey % 20 AS VARCHAR) END AS qse_name,
+    CASE WHEN l_orderkey % 70 <> 0 THEN CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS order_id
   FROM lineitem),
-bids AS ({_ORDERS_SQL} WHERE l_returnflag = 'A' AND l_linestatus = 'F'),
-bid_awards AS ({_AWARDS_SQL} WHERE l_returnflag = 'A'),
-offers AS ({_ORDERS_SQL} WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND hour_ending <= {LAST_OFFER_HOUR}),
-offer_awards AS ({_AWARDS_SQL} WHERE l_returnflag = 'R'),
+bids AS ({_ORDERS_SQL} WHERE l_linenumber % 2 = 1 AND l_partkey % 10 <> 9),
+bid_awards AS ({_AWARDS_SQL} WHERE l_linenumber % 2 = 1),
+offers AS ({_ORDERS_SQL} WHERE l_linenumber % 2 = 0 AND l_partkey % 10 <> 9
+  AND NOT (l_orderkey % 5 = 0 AND hour_ending > {LAST_OFFER_HOUR})),
+offer_awards AS ({_AWARDS_SQL} WHERE l_linenumber % 2 = 0),
 prices AS (
   SELECT CAST(ts AS DATE) AS delivery_date, CAST(hour(ts) + 1 AS INTEGER) AS hour_ending,
     CAST(minute(ts) // 15 + 1 AS INTEGER) AS "interval", event_type AS settlement_point, 'LZ' AS point_type,

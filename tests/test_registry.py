@@ -76,9 +76,9 @@ def test_settlement_totals(spark):
         .collect()
     }
     bid, offer = totals["Bid"], totals["Offer"]
-    assert (bid["count(1)"], bid["count(mark_price)"], bid["count(bid_price)"], bid["count(bid_size)"]) == (16719, 15714, 6856, 7095)
+    assert (bid["count(1)"], bid["count(mark_price)"], bid["count(bid_price)"], bid["count(bid_size)"]) == (33854, 31169, 17016, 19785)
     assert (offer["count(1)"], offer["count(mark_price)"], offer["count(offer_price)"], offer["count(offer_size)"]) == (
-        16856, 15873, 6886, 7156
+        25261, 23333, 12581, 14573
     )
-    assert round(bid["sum(settlement_price)"], 2) == 5700885.67
-    assert round(offer["sum(settlement_price)"], 2) == 5894599.07
+    assert round(bid["sum(settlement_price)"], 2) == 14509337.1
+    assert round(offer["sum(settlement_price)"], 2) == 10355773.43
