@@ -36,6 +36,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         joining,
         settlement,
         storage,
+        jobs,  # isort: skip  uses the SQL of others
     )
 
     return dict(QUERIES), dict(SQL)

@@ -48,8 +48,8 @@ _PRICE_HEADER = [name for column, name in CLASSIC_NAMES["prices"].items() if col
 
 @query(
     f"""{MARKET_SQL}
-SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, hour_ending, settlement_point, count(*) AS n,
-  max(price) AS top_price FROM prices GROUP BY delivery_date, hour_ending, settlement_point"""
+SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, hour_ending, settlement_point, "interval", price, dst_flag
+FROM prices"""
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price files taken in by a stream in two drops and a third run without news; every row arrives once."""
@@ -61,8 +61,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             publish(drop, CLASSIC_NAMES["prices"]).write.mode("append").option("header", True).csv(f"{path}/drop")
         run = ingest_files(spark, f"{path}/drop", _PRICE_HEADER, "prices", f"{path}/prices", f"{path}/checkpoint")
         run.awaitTermination()
-    stored = spark.read.parquet(f"{path}/prices").groupBy("delivery_date", "hour_ending", "settlement_point")
-    return text_dates(stored.agg(F.count("*").alias("n"), F.max("price").alias("top_price")))
+    stored = spark.read.parquet(f"{path}/prices")
+    return text_dates(stored.select("delivery_date", "hour_ending", "settlement_point", "interval", "price", "dst_flag"))
 
 
 @query(

@@ -16,7 +16,7 @@ TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
 ]
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables not present")
 
