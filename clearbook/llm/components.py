@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.llm.shared import drop_kept, keep
+from clearbook.llm.shared import apart, back, drop_kept, keep
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,9 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
     before = _state(stars)
     while True:
         both = stars.select("u", "v").unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        lowest = apart(both, "u").agg(F.min("v").alias("m")).select(back("u"), "m").withColumn("m", F.least("u", "m"))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = apart(large, "u").agg(F.min("v").alias("m")).select(back("u"), "m")
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = keep(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         state = _state(after)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import components
-from clearbook.llm.shared import batches, keep, rolled, word_hashes
+from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 8, 3
@@ -140,8 +140,8 @@ def paragraph_classes(docs: DataFrame, paragraphs: DataFrame, similarity: float)
         F.min(F.struct("doc_id", "start", "n_words")).alias("place"), F.first("bands").alias("bands")
     )
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    ends = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    met = banded.join(ends, "band").select("node", F.explode(F.array("low", "high")).alias("other"))
+    ends = apart(banded, "band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    met = banded.join(ends.select(back("band"), "low", "high"), "band").select("node", F.explode(F.array("low", "high")).alias("other"))
     pairs = keep(
         met.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(),
         "pairs",
@@ -181,7 +181,7 @@ def repeated_passages(
     )
     repeated = rooted.select("node", "root").join(spread, "root").select("node", F.col("root").alias("class_id"), "kept_doc_id")
     whole = paragraphs.drop("bands").join(repeated, "node").withColumn("kind", F.lit("paragraph"))
-    twice = windows.groupBy("node").agg(*sums).where("kept_doc_id <> last").drop("last")
+    twice = apart(windows, "node").agg(*sums).where("kept_doc_id <> last").select(back("node"), "kept_doc_id")
     parts = windows.join(twice, "node").withColumn("class_id", F.col("node")).withColumn("kind", F.lit("window"))
     columns = ["doc_id", "kept_doc_id", "class_id", "kind", F.col("start").alias("first_word"), "n_words"]
     return whole.select(*columns).unionByName(parts.select(*columns)).where("doc_id <> kept_doc_id")
@@ -221,14 +221,14 @@ def drop_repeated(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     Every row stays, with an empty text if nothing of it is left. Texts without repeated passages are unchanged.
     """
     found = repeated_passages(docs, similarity).select("doc_id", "first_word", "n_words").distinct()
-    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("_spans"))
+    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("__clearbook_spans"))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut_words(t, [tuple(s.values()) for s in of]) for t, of in zip(texts, spans)], dtype=object)
 
-    joined = docs.join(spans.withColumn("doc_id", F.col("doc_id")), "doc_id", "left")
-    hit = joined.where("_spans is not null").withColumn("text", cut("text", "_spans"))
+    joined = docs.join(spans, "doc_id", "left")
+    hit = joined.where("__clearbook_spans is not null").withColumn("text", cut("text", "__clearbook_spans"))
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.where("_spans is null").select(*docs.columns).unionByName(hit.select(*docs.columns))
+    return joined.where("__clearbook_spans is null").select(columns_of(docs)).unionByName(hit.select(columns_of(docs)))

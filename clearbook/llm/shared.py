@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
+from pyspark.sql import functions as F
 
 from clearbook.session import shared_dir
 
@@ -33,6 +34,24 @@ def drop_kept(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of a table, whatever their names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
+def apart(df: DataFrame, key: str) -> GroupedData:
+    """Rows grouped by the complement of a long ``key``, called ``_apart``; ``back(key)`` turns it into the key again.
+
+    A join by the key then deals both of its sides anew instead of taking over the partitions of the grouped side, and so
+    adaptive execution may split a key with very many rows.
+    """
+    return df.groupBy(F.bitwise_not(F.col(key)).alias("_apart"))
+
+
+def back(key: str) -> Column:
+    return F.bitwise_not(F.col("_apart")).alias(key)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text, split at space and \\x09-\\x0D only, with A-Z in lower case, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

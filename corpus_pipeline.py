@@ -13,7 +13,7 @@ from clearbook.llm.decontaminate import drop_leaking
 from clearbook.llm.mixing import mix
 from clearbook.llm.passages import drop_repeated
 from clearbook.llm.quality import fit, score_quality
-from clearbook.llm.shared import keep, read_table
+from clearbook.llm.shared import columns_of, keep, read_table
 from clearbook.llm.simhash_dedup import drop_near_copies
 
 #: A document of a lower score is rejected.
@@ -23,7 +23,8 @@ LEAST_QUALITY = 0.3
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose quality score is at least ``LEAST_QUALITY``; the model learns from all labels."""
     model = fit(docs, read_table(spark, sf_dir, "labels"))
-    return score_quality(docs, model).where(F.col("quality_score") >= LEAST_QUALITY).select(*docs.columns)
+    scored = score_quality(docs, model)
+    return scored.where(F.col("quality_score") >= LEAST_QUALITY).select(columns_of(docs))
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
