@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.llm.shared import batches, rolled, word_hashes, words_of
+from clearbook.llm.shared import batches, columns_of, rolled, word_hashes, words_of
 
 SHINGLE = 5
 BLOCKS = 8
@@ -166,7 +166,8 @@ def find_leaks(
     found = None
     for part in range(parts):
         chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
-        index = ItemIndex.of(sorted((r.item_id, r.text) for r in chosen.collect()), radius, similarity)
+        asked = sorted(((r.item_id, r.text) for r in chosen.collect()), key=lambda item: (str(item[0]), item[1]))
+        index = ItemIndex.of(asked, radius, similarity)
 
         def scan(batch: pa.RecordBatch, index: ItemIndex = index) -> dict:
             rows = [
@@ -186,4 +187,4 @@ def find_leaks(
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius: int = 20) -> DataFrame:
     """``docs`` without the documents that leak an item; rows with a null doc_id stay, since no result can name them."""
     leaking = find_leaks(docs, benchmark, similarity, radius).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(leaking, "doc_id", "left_anti").select(columns_of(docs))
