@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import components
-from clearbook.llm.shared import batches, keep, shingle_hashes, words_of
+from clearbook.llm.shared import apart, back, batches, columns_of, keep, shingle_hashes, words_of
 
 BITS = 64
 SEED = 42
@@ -147,11 +147,19 @@ def _dense_links(dense: DataFrame, radius: int, rows: int) -> DataFrame:
 
 def links(codes: DataFrame, radius: int = 2, agree: int = 2, shard_rows: int = 512) -> DataFrame:
     """(a, b) over distinct fingerprints (code: long) that joins all within ``radius``, without listing all pairs."""
-    keyed = codes.select(F.explode(_block_keys(radius, agree)).alias("key"), "code")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keyed.join(sizes, "key")
-    small = shared.where(F.col("n") <= shard_rows).groupBy("key").agg(F.collect_list("code").alias("codes"))
-    dense = shared.where(F.col("n") > shard_rows)
+    # One code becomes many rows here: they are made by as many tasks as a shuffle has, however small the table is.
+    tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = codes.repartition(tasks, "code")
+    keyed = spread.select(F.explode(_block_keys(radius, agree)).alias("key"), "code").select("key.*", "code")
+    # Counted by another form of the bits, so that a join by the key deals both sides anew and may split a dense shard.
+    counted = keyed.groupBy("pair", F.bitwise_not("bits").alias("_bits")).agg(F.count("*").alias("n"))
+    crowded = counted.where(F.col("n") > shard_rows).select("pair", F.bitwise_not("_bits").alias("bits"), "n")
+    hot = keep(crowded, "crowded")
+    side = F.broadcast(hot) if hot.count() <= 100_000 else hot
+    key = F.struct("pair", "bits").alias("key")
+    small = keyed.join(side, ["pair", "bits"], "left_anti").groupBy(key).agg(F.collect_list("code").alias("codes"))
+    small = small.where(F.size("codes") > 1)
+    dense = keyed.join(side, ["pair", "bits"]).select(key, "n", "code")
     if radius > 2:
         return _shard_links(small, radius).unionByName(_dense_links(dense, radius, 4 * shard_rows))
     flips = F.array(*(F.lit(_signed(mask)) for mask in (0, *(1 << bit for bit in range(BITS)))))
@@ -176,8 +184,8 @@ def simhash_components(
     placed = nodes.join(roots.withColumnRenamed("node", "code"), "code", "left").select(
         "code", "first", F.coalesce("root", "code").alias("root")
     )
-    named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_code = placed.join(named, "root").select("code", "component_id")
+    named = apart(placed, "root").agg(F.min("first").alias("component_id"))
+    of_code = placed.join(named.select(back("root"), "component_id"), "root").select("code", "component_id")
     return marked.join(of_code, "code", "left").select("doc_id", "code", "component_id")
 
 
@@ -195,5 +203,5 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 6, agree:
     firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(firsts, "doc_id", "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text")
-    once = kept.withColumn("_row", F.row_number().over(order)).where("_row = 1").select(*docs.columns)
-    return once.unionByName(docs.where("doc_id is null"))
+    once = kept.withColumn("__clearbook_row", F.row_number().over(order)).where("__clearbook_row = 1")
+    return once.select(columns_of(docs)).unionByName(docs.where("doc_id is null"))
