@@ -61,21 +61,22 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, epoch
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, bins: int = 4096) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, bins: int = 4096) -> DataFrame:
     """One row for every row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, taken.
 
-    ``weight`` is a column of ``docs`` above 0: a document of twice the weight is as likely again to come first; null and
-    other weights never come before one above 0. Null texts have size 0 and give nothing. A null source is a source of its
-    own, the last. Rows that repeat a doc_id have the same key, and the smaller comes first; reruns agree.
+    ``weights`` (doc_id, weight) are the quality weights: a document of twice the weight is as likely again to come first,
+    one of weight 0 or less comes last. Documents without a weight have 1; of several weights the smallest counts. They
+    are joined to the sizes, so no text is shuffled. Null texts have size 0 and give nothing. A null source is a source of
+    its own, the last. Rows that repeat a doc_id have the same key, and the smaller comes first; reruns agree.
     """
-    chance = F.lit(1.0) if weight is None else weight.cast("double")
-    priced = docs.select(
-        F.col("doc_id").cast("long"),
-        "source",
-        word_count(F.col("text")).alias("size"),
-        F.when(chance > 0, -F.log(unit_hash(F.col("doc_id"))) / chance).otherwise(F.lit(float("inf"))).alias("key"),
-    )
-    table = keep(priced, "sizes")
+    table = keep(docs.select(F.col("doc_id").cast("long"), "source", word_count(F.col("text")).alias("size")), "sizes")
+    chance = F.lit(1.0)
+    if weights is not None:
+        known = weights.where("doc_id is not null and weight is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        table = table.join(known.agg(F.min("weight").cast("double").alias("weight")), "doc_id", "left")
+        chance = F.coalesce("weight", F.lit(1.0))
+    key = F.when(chance > 0, -F.log(unit_hash(F.col("doc_id"))) / chance).otherwise(F.lit(float("inf")))
+    table = keep(table.select("doc_id", "source", "size", key.alias("key")), "keys")
     sizes = table.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = keep(source_targets(sizes), "targets")
     budgets = targets.select(

@@ -12,6 +12,7 @@ from clearbook.llm.decontaminate import find_leaks
 from clearbook.llm.html_text import extract_text
 from clearbook.llm.mixing import mix
 from clearbook.llm.neighbours import nearest
+from clearbook.llm.oracles import MIXING
 from clearbook.llm.passages import repeated_passages
 from clearbook.llm.quality import fit, quality_scores
 from clearbook.llm.shared import read_table
@@ -83,11 +84,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
-    weighed = docs.join(marks, "doc_id", "left")
     # Labelled good counts double, labelled bad a quarter, unlabelled once.
-    weight = F.when(F.col("_quality") == 1, 2.0).when(F.col("_quality") == 0, 0.25).otherwise(1.0)
-    return mix(weighed, weight)
+    weight = F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.25)
+    return mix(docs, labels.select("doc_id", weight.alias("weight")))
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,4 +136,4 @@ QUERIES: dict[str, Query] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_mixing": MIXING}

@@ -77,7 +77,8 @@ def test_mix_is_the_sorted_prefix(spark, bins):
     rows = [(i, prose(i, 5 + 37 * i % 200), f"s{i % 4}") for i in range(200)]
     rows += [(300, None, "s1"), (301, "", None), (302, "a b", None), (302, "a b", None), (None, "c d e", "s2"), (303, "x", "S")]
     table = docs(spark, rows, "size int, taken int, `a.b` int")
-    found = mix(table, F.when(F.col("doc_id") % 3 == 0, 2.0).otherwise(1.0), bins).collect()
+    weights = [(i, 2.0) for i in range(0, 310, 3)] + [(3, 5.0), (None, 9.0), (4, None)]
+    found = mix(table, spark.createDataFrame(weights, "doc_id long, weight double"), bins).collect()
     assert len(found) == len(rows)
     by_source = {}
     for r in found:

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from clearbook.llm.registry import QUERIES
+from clearbook.llm.registry import QUERIES, SQL
 from tests.llm.helpers import groups, simhash, words
 
 SF_DIR = os.environ.get("CLEARBOOK_SF_DIR", "/root/testdata/sf0.001")
@@ -67,3 +67,17 @@ def test_stages_on_the_sample(spark):
         else:
             assert docs.columns == tables["documents"].columns
     assert len(seen) == 5
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, name):
+    import duckdb
+
+    found = QUERIES[name](spark, SF_DIR)
+    connection = duckdb.connect()
+    for table in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    relation = connection.sql(SQL[name])
+    assert sorted(relation.columns) == sorted(found.columns)
+    columns = ", ".join(found.columns)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(relation.project(columns).fetchall(), key=str)
