@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.llm.shared import batches
+from clearbook.llm.shared import batches, keep
 
 #: Letters of a word's beginnings that count as features of their own, for words the labels do not have.
 STEMS = (3, 4, 5)
+#: Words that a worker remembers before it begins anew.
+CACHE_WORDS = 300_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -31,16 +33,45 @@ class SeverityModel:
     thresholds: tuple[float, ...]
 
 
+def features_of(word: str) -> list[str]:
+    """The word itself, and its first letters with a star where it is longer."""
+    return [word, *[word[:size] + "*" for size in STEMS if len(word) > size]]
+
+
 def word_counts(text: str | None) -> Counter:
-    """Runs of letters in lower case, and the first letters of longer ones with a star, with their number."""
-    found = Counter(_WORDS.findall(text.lower())) if text else Counter()
-    for word, n in list(found.items()):
-        for size in STEMS:
-            if len(word) > size:
-                found[word[:size] + "*"] += n
+    """Features of the runs of letters in lower case, with their number."""
+    found: Counter = Counter()
+    for word, n in Counter(_WORDS.findall(text.lower()) if text else ()).items():
+        for feature in features_of(word):
+            found[feature] += n
     return found
 
 
+class Scorer:
+    """Scores of texts. What the words of earlier texts are worth is remembered; most are worth nothing."""
+
+    def __init__(self, weights: dict[str, float]) -> None:
+        self.weights = weights
+        self.known: set[str] = set()
+        self.worth: dict[str, list[str]] = {}
+
+    def score(self, text: str | None) -> float:
+        words = _WORDS.findall(text.lower()) if text else []
+        if not self.known.issuperset(words):
+            if len(self.known) > CACHE_WORDS:
+                self.known, self.worth = set(), {}
+            fresh = set(words) - self.known
+            for word in fresh:
+                if own := [feature for feature in features_of(word) if feature in self.weights]:
+                    self.worth[word] = own
+            self.known |= fresh
+        found: Counter = Counter()
+        for word, n in Counter(filter(self.worth.__contains__, words)).items():
+            for feature in self.worth[word]:
+                found[feature] += n
+        return sum(self.weights[feature] * np.log1p(n) for feature, n in sorted(found.items()))
+
+
 def training_words(docs: DataFrame, grades: DataFrame, rows: int) -> DataFrame:
     """(doc_id, grade, words, counts) of up to ``rows`` graded and as many ungraded (0) texts, by a hash of doc_id.
 
@@ -69,9 +100,11 @@ def training_words(docs: DataFrame, grades: DataFrame, rows: int) -> DataFrame:
             "counts": [list(c.values()) for c in counted],
         }
 
-    return chosen.mapInArrow(
-        batches(count, schema), "doc_id long, grade int, words array<string>, counts array<long>"
+    counted = chosen.mapInArrow(
+        batches(count, schema, 64), "doc_id long, grade int, words array<string>, counts array<long>"
     )
+    # Read by several steps of the fit: written once, so that the documents are scanned once.
+    return keep(counted, "words")
 
 
 def telling_words(table: DataFrame, least_texts: int = 5, least_z: float = 5.0, most_words: int = 20_000) -> list[str]:
@@ -182,13 +215,10 @@ def score_severity(docs: DataFrame, model: SeverityModel) -> DataFrame:
         [("doc_id", pa.int64()), ("expected_severity", pa.float64()), ("severity", pa.int32()), ("toxic", pa.bool_())]
     )
     theta = np.array(model.thresholds)
+    scorer = Scorer(model.weights)
 
     def score(batch: pa.RecordBatch) -> dict:
-        weights = model.weights
-        sums = []
-        for text in batch.column(1).to_pylist():
-            found = [(weights[w], n) for w, n in word_counts(text).items() if w in weights]
-            sums.append(sum(weight * np.log1p(n) for weight, n in found))
+        sums = [scorer.score(text) for text in batch.column(1).to_pylist()]
         above = _sigmoid(np.array(sums, float)[:, None] - theta)
         edges = np.concatenate((np.ones((len(sums), 1)), above, np.zeros((len(sums), 1))), axis=1)
         return {

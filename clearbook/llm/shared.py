@@ -75,16 +75,18 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def batches(function: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callable[[Iterator], Iterator]:
+def batches(
+    function: Callable[[pa.RecordBatch], dict], schema: pa.Schema, rows: int = 512
+) -> Callable[[Iterator], Iterator]:
     """An Arrow batch function for ``mapInArrow`` out of one that turns a batch into columns.
 
-    A batch is worked on in slices of a few megabytes, so that memory follows the longest text and not the row count.
+    A batch is worked on in slices of ``rows``, so that memory follows the longest texts and not the size of a batch.
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            for start in range(0, batch.num_rows, 512):
-                columns = function(batch.slice(start, 512))
+            for start in range(0, batch.num_rows, rows):
+                columns = function(batch.slice(start, rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[field.name], type=field.type) for field in schema], schema=schema
                 )
