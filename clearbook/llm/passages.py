@@ -2,8 +2,8 @@
 
 Paragraphs are the lines of a text with at least ``least_words`` words. Equal paragraphs are one node. Each node has a
 MinHash signature of its word shingles in ``bands`` bands of ``rows`` rows: with 8 x 3, two paragraphs of similarity 0.8
-meet in some band with a probability of 99.7 %. Nodes that collide are linked to the first and last of their bucket, the
-exact Jaccard similarity of their shingles is computed, and links of at least ``similarity`` are clustered by components.
+meet in some band with a probability of 99.7 %. Pairs of nodes that collide and have an exact Jaccard similarity of their
+shingles of at least ``similarity`` are clustered by components, see ``similar``; no pair of a bucket is left out.
 
 A passage can also stand inside different paragraphs. For these, each text has windows of ``window`` words: one at the
 smallest shingle of every ``step`` shingles in a row, and one at the beginning and end of each paragraph. Texts that share
@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.llm.components import components
 from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, word_hashes
+from clearbook.llm.similar import similar_components
 
 SHINGLE = 5
 BANDS, ROWS = 8, 3
@@ -139,20 +139,12 @@ def paragraph_classes(docs: DataFrame, paragraphs: DataFrame, similarity: float)
     nodes = paragraphs.groupBy("node").agg(
         F.min(F.struct("doc_id", "start", "n_words")).alias("place"), F.first("bands").alias("bands")
     )
-    banded = nodes.select("node", F.explode("bands").alias("band"))
-    ends = apart(banded, "band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    met = banded.join(ends.select(back("band"), "low", "high"), "band").select("node", F.explode(F.array("low", "high")).alias("other"))
-    pairs = keep(
-        met.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(),
-        "pairs",
-    )
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = keep(_shingle_sets(docs, nodes.join(asked, "node").select("node", "place.*")), "shingles")
-    left, right = (sets.select(F.col("node").alias(n), F.col("shingles").alias(f"of_{n}")) for n in "ab")
-    compared = pairs.join(left, "a").join(right, "b")
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    exact = both / (F.size("of_a") + F.size("of_b") - both)
-    return components(compared.where(exact >= similarity).select("a", "b").distinct())
+    banded = nodes.select("node", F.explode("bands").alias("key"))
+
+    def sets(asked: DataFrame) -> DataFrame:
+        return _shingle_sets(docs, nodes.join(asked, "node").select("node", "place.*"))
+
+    return similar_components(banded, sets, similarity)
 
 
 def repeated_passages(
