@@ -5,6 +5,9 @@ shingles, weighted by how often they occur, is looked up in an index of the item
 each with the items whose block is within ``radius // 8`` flips, so that every item within ``radius`` is found. The exact
 weighted Jaccard similarity of the shingles, sum of minima over sum of maxima, decides.
 
+A document with fewer shingles than an item is one window, the whole of it. As it is looked up once, its items are found
+exactly by the shingles they share, without SimHash.
+
 A window can only reach the wanted similarity if nearly all its shingles occur in some item; windows that cannot are not
 hashed. That test is exact and loses nothing.
 """
@@ -67,6 +70,7 @@ class ItemIndex:
 
     def __post_init__(self) -> None:
         self._ready = False
+        self._owners: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     def _prepare(self) -> None:
         codes = np.array(self.codes, np.uint64)
@@ -93,6 +97,19 @@ class ItemIndex:
         found = np.unique(np.concatenate([self.table[b][parts[b]] for b in range(BLOCKS)]))
         return found[np.bitwise_count(self.code_array[found] ^ np.uint64(code)) <= self.radius].tolist()
 
+    def sharing(self, width: int, count: int, hashes: np.ndarray) -> list[int]:
+        """Items of a width and size that have any of the shingles."""
+        if (width, count) not in self._owners:
+            of = self.sizes[width][count]
+            held = np.array([h for i in of for h in self.shingles[i]], np.uint64)
+            owners = np.repeat(of, [len(self.shingles[i]) for i in of])
+            order = np.argsort(held)
+            self._owners[width, count] = held[order], owners[order]
+        held, owners = self._owners[width, count]
+        asked = np.unique(hashes)
+        spans = zip(np.searchsorted(held, asked).tolist(), np.searchsorted(held, asked, "right").tolist())
+        return np.unique(np.concatenate([owners[a:b] for a, b in spans])).tolist()
+
     def leaks(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item_id, similarity, first word, words) of the best window of each item found in the text."""
         if not self.ids:
@@ -102,6 +119,7 @@ class ItemIndex:
         words = word_hashes(words_of(text))
         best: dict[int, tuple[float, int, int]] = {}
         for width, sizes in self.sizes.items():
+            # Without a shingle of the width, nothing is shared with its items.
             if len(words) < width:
                 continue
             hashes = rolled(words, width)
@@ -118,9 +136,17 @@ class ItemIndex:
                 known = self.known[width, count]
                 at = np.minimum(np.searchsorted(known, seen_hashes), len(known) - 1)
                 own_places = places[known[at] == seen_hashes]
-                # Overlap / (2 * count - overlap) >= similarity needs at least this overlap.
-                least = max(1, math.ceil(2 * self.similarity * count / (1 + self.similarity) - 1e-9))
-                if len(own_places) < least or len(hashes) < count:
+                # Overlap / (size + count - overlap) >= similarity needs at least this overlap; a window has count shingles.
+                size = min(len(hashes), count)
+                least = max(1, math.ceil(self.similarity * (size + count) / (1 + self.similarity) - 1e-9))
+                if len(own_places) < least:
+                    continue
+                if size < count:
+                    own = Counter(hashes.tolist())
+                    for i in self.sharing(width, count, hashes):
+                        score = weighted_jaccard(own, self.shingles[i])
+                        if score >= self.similarity and score > best.get(i, (0.0,))[0]:
+                            best[i] = (score, 0, len(words))
                     continue
                 hit = np.zeros(len(hashes) + 1, np.int32)
                 hit[own_places + 1] = 1
