@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clearbook.llm.decontaminate import drop_leaking
 from clearbook.llm.mixing import mix
 from clearbook.llm.passages import drop_repeated
-from clearbook.llm.quality import fit, score_quality
+from clearbook.llm.quality import fit, quality_scores, score_quality
 from clearbook.llm.shared import columns_of, keep, read_table
 from clearbook.llm.simhash_dedup import drop_near_copies
 
@@ -43,8 +43,13 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes words of, with their source's target and the words taken, repeats counted."""
-    return mix(docs).where("taken > 0")
+    """Documents that the mix takes words of, with their source's target and the words taken, repeats counted.
+
+    The weight of a document is its score, as it arrives here, by the model of the quality stage.
+    """
+    model = fit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    weights = quality_scores(docs, model).select("doc_id", F.col("quality_score").alias("weight"))
+    return mix(docs, weights).where("taken > 0")
 
 
 STAGES = [
