@@ -11,6 +11,8 @@ A shard with more than ``shard_rows`` fingerprints is dealt anew, without losing
 finer key is every code within one flip of a fingerprint: two within the radius share such a code, and no shard has more
 than the 65 members of the ball around its key. For a larger radius the shard is cut into tiles of ``shard_rows``; each
 pair of tiles is compared in one task.
+
+Documents are dropped only after their five-word shingles have been compared exactly inside the SimHash components.
 """
 
 from __future__ import annotations
@@ -19,14 +21,18 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import components
-from clearbook.llm.shared import apart, back, batches, columns_of, keep, shingle_hashes, words_of
+from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, shingle_hashes, word_hashes, words_of
+from clearbook.llm.similar import similar_components
 
 BITS = 64
 SEED = 42
+#: Words of the shingles that near copies are verified by.
+EXACT_SHINGLE = 5
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -193,15 +199,71 @@ def hex_code(code: F.Column) -> F.Column:
     return F.lpad(F.lower(F.hex(code)), 16, "0")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 6, agree: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id, and all its columns.
+def _marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, node) of every row: a node is a set of five-word shingles."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64())])
+
+    def mark(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch.column(0), "node": [_node(_shingles(t)) for t in batch.column(1).to_pylist()]}
+
+    return docs.mapInArrow(batches(mark, schema), "doc_id long, node long")
+
+
+def _shingles(text: str | None) -> np.ndarray:
+    return np.unique(rolled(word_hashes(words_of(text)), EXACT_SHINGLE)).view(np.int64)
+
+
+def _node(shingles: np.ndarray) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(shingles.tobytes()))
+
+
+def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles: sorted distinct) of the texts in ``wanted`` (doc_id, node)."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def sets(batch: pa.RecordBatch) -> dict:
+        # A doc_id may have other rows, which are not those asked for.
+        made = [(node, _shingles(t)) for t, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        made = [(node, own.tolist()) for node, own in made if _node(own) == node]
+        return {"node": [node for node, _ in made], "shingles": [own for _, own in made]}
+
+    texts = docs.join(wanted, "doc_id").select("text", "node")
+    return texts.mapInArrow(batches(sets, schema), "node long, shingles array<long>").dropDuplicates(["node"])
+
+
+def exact_components(docs: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, root) of every row of ``docs`` (doc_id, text) that is in one of ``groups`` (key, doc_id).
+
+    Rows of one root are joined by links between documents of a group whose five-word shingles have at least the Jaccard
+    similarity.
+    """
+    asked = docs.join(groups.select("doc_id").distinct(), "doc_id")
+    nodes = keep(_marked(asked.select("doc_id", "text")).distinct(), "nodes")
+    places = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    members = keep(groups.join(nodes, "doc_id").select("key", "node").distinct(), "members")
+    roots = similar_components(members, lambda some: _shingle_sets(docs, places.join(some, "node")), similarity)
+    return nodes.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
+
+
+def drop_near_copies(
+    docs: DataFrame, shingle: int = 3, radius: int = 6, agree: int = 3, similarity: float = 0.8
+) -> DataFrame:
+    """``docs`` with one document of each group of near copies: the one with the smallest doc_id, and all its columns.
+
+    The SimHash components only say which documents are compared; links between them are those whose exact Jaccard
+    similarity of five-word shingles is at least ``similarity``, and components of these links are the groups.
 
     Of rows that repeat a doc_id the one with the smallest text stays. Rows with a null doc_id cannot be named as copies
-    or originals and all stay.
+    or originals and all stay; they link nothing.
     """
-    groups = simhash_components(docs, shingle, radius, agree)
-    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi")
+    found = simhash_components(docs, shingle, radius, agree).where("doc_id is not null")
+    placed = keep(found.select(F.col("component_id").alias("key"), "doc_id").distinct(), "placed")
+    several = keep(apart(placed, "key").agg(F.count("*").alias("n")).where("n > 1").select(back("key")), "several")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    exact = exact_components(texts, keep(placed.join(several, "key"), "candidates"), similarity)
+    firsts = apart(exact, "root").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    alone = placed.join(several, "key", "left_anti").select("doc_id")
+    kept = docs.join(firsts.unionByName(alone).distinct(), "doc_id", "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text")
     once = kept.withColumn("__clearbook_row", F.row_number().over(order)).where("__clearbook_row = 1")
     return once.select(columns_of(docs)).unionByName(docs.where("doc_id is null"))
