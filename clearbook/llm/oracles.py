@@ -36,3 +36,98 @@ placed AS (
   FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, source, size, source_size, target, CAST(epochs * size + greatest(0, least(size, rest)) AS BIGINT) AS taken
 FROM placed"""
+
+#: The 256 steps of crc32 as a list, and what folds the ASCII or Latin-1 characters of a text into its crc32.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(list_concat([i], range(8)),
+      lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+    FROM range(256) AS t(i)))"""
+
+
+def _crc(bytes_sql: str) -> str:
+    """SQL for the unsigned crc32 of a list of byte values; ``steps`` must be in scope."""
+    return (
+        f"xor(list_reduce(list_concat([4294967295::BIGINT], {bytes_sql}), "
+        "lambda c, x: xor(c // 256, steps[1 + xor(c, x) % 256])), 4294967295)"
+    )
+
+
+def _merkle(levels: int = 7, crown_levels: int = 5, arity: int = 16) -> str:
+    """Trees of at most ``arity ** levels`` leaves, level by level; a tree that is down to one node stays as it is."""
+
+    def sized(text: str, alias: str) -> str:
+        parts = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+        each = [f"CASE WHEN {p} IS NULL THEN '-' ELSE strlen({p}) || ':' || {p} END" for p in parts]
+        return f"sha256({' || '.join(each)}) AS {alias}"
+
+    decimal = _crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: unicode(c)::BIGINT)")
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        _CRC_TABLE,
+        f"""digests AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {sized("text", "leaf")},
+    CASE WHEN doc_id IS NOT NULL AND {decimal} % 5 = 0 THEN {sized(lower, "x").removesuffix(" AS x")} END AS changed
+  FROM documents, crc_table)""",
+        """leaves AS (
+  SELECT doc_id, tree, leaf, coalesce(changed, leaf) AS claim,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, changed NULLS FIRST) - 1 AS pos
+  FROM digests)""",
+    ]
+
+    def climb(name: str, leaves: str, levels: int) -> None:
+        steps.append(f"{name}_0 AS (SELECT tree, pos, digest, count(*) OVER (PARTITION BY tree) AS size FROM {leaves})")
+        for k in range(levels):
+            steps.append(f"""{name}_runs_{k} AS (
+  SELECT tree, pos // {arity} AS up, string_agg(digest, '' ORDER BY pos) AS run, any_value(size) AS size
+  FROM {name}_{k} GROUP BY tree, pos // {arity})""")
+            steps.append(f"""{name}_{k + 1} AS (
+  SELECT tree, up AS pos, CASE WHEN size > 1 THEN sha256(run) ELSE run END AS digest,
+    (size + {arity - 1}) // {arity} AS size
+  FROM {name}_runs_{k})""")
+
+    def fold(name: str, start: str, levels: int) -> str:
+        at = start
+        for k in range(levels):
+            left = f"substr(r.run, 1, CAST(64 * (a.pos_{name} // {arity**k} % {arity}) AS BIGINT))"
+            right = f"substr(r.run, CAST(64 * (a.pos_{name} // {arity**k} % {arity}) + 65 AS BIGINT))"
+            others = f"CASE WHEN r.size > 1 THEN {left} || {right} ELSE '' END"
+            steps.append(f"""{start}_{name}_{k} AS (
+  SELECT a.* REPLACE (CASE WHEN r.size > 1 THEN sha256({left} || a.claim || {right}) ELSE a.claim END AS claim,
+    a.proof || {others} AS proof)
+  FROM {at} a JOIN {name}_runs_{k} r ON r.tree = a.tree_{name} AND r.up = a.pos_{name} // {arity ** (k + 1)})""")
+            at = f"{start}_{name}_{k}"
+        return at
+
+    steps.append("digested AS (SELECT tree, pos, leaf AS digest FROM leaves)")
+    climb("sources", "digested", levels)
+    steps.append(f"subroots AS (SELECT 0 AS tree, tree AS pos, digest FROM sources_{levels})")
+    climb("crown", "subroots", crown_levels)
+    steps.append(f"""paths AS (
+  SELECT l.doc_id, l.leaf, l.claim, '' AS proof, s.digest AS subroot, c.digest AS root, l.tree AS tree_sources,
+    l.pos AS pos_sources, 0 AS tree_crown, l.tree AS pos_crown
+  FROM leaves l JOIN sources_{levels} s ON l.tree = s.tree CROSS JOIN crown_{crown_levels} c)""")
+    low = fold("sources", "paths", levels)
+    high = fold("crown", low, crown_levels)
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, claim AS folded_root, claim = root AS verified
+FROM {high}"""
+
+
+MERKLE = _merkle()
+
+LINES = r"""WITH split AS (
+  SELECT row_number() OVER () AS id, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM split),
+common AS (
+  SELECT key FROM keyed WHERE key <> ''
+  GROUP BY key HAVING count(DISTINCT doc_id) + CAST(count(*) > count(doc_id) AS INTEGER) >= 10)
+SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+  sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.place) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON k.key = c.key
+GROUP BY k.id"""

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from clearbook.llm import severity
 from clearbook.llm.decontaminate import find_leaks
 from clearbook.llm.html_text import extract_text
+from clearbook.llm.line_dedup import drop_common_lines
+from clearbook.llm.merkle import document_leaves, manifest
 from clearbook.llm.mixing import mix
 from clearbook.llm.neighbours import nearest
-from clearbook.llm.oracles import MIXING
+from clearbook.llm.oracles import LINES, MERKLE, MIXING
 from clearbook.llm.passages import repeated_passages
 from clearbook.llm.quality import fit, quality_scores
 from clearbook.llm.shared import read_table
@@ -123,6 +125,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    proved = manifest(document_leaves(docs, marked, F.translate("text", UPPER, LOWER)))
+    return proved.drop("source")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_common_lines(read_table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_tool_calls": op2_tool_calls,
@@ -134,6 +151,8 @@ QUERIES: dict[str, Query] = {
     "op8_passages": op8_passages,
     "op9_html": op9_html,
     "op10_decontaminate": op10_decontaminate,
+    "op12_merkle": op12_merkle,
+    "op13_line_dedup": op13_line_dedup,
 }
 
-SQL: dict[str, str] = {"op4_mixing": MIXING}
+SQL: dict[str, str] = {"op4_mixing": MIXING, "op12_merkle": MERKLE, "op13_line_dedup": LINES}
