@@ -131,3 +131,49 @@ SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dro
   sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.place) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
 FROM keyed k LEFT JOIN common c ON k.key = c.key
 GROUP BY k.id"""
+
+
+def _spelling(steps: int = 16) -> str:
+    """Near words share a text after one character of either, or of both at one place, is taken out."""
+    latin = "list_transform(string_split(name, ''), lambda c: unicode(c)::BIGINT)"
+    as_bytes = f"flatten(list_transform({latin}, lambda u: CASE WHEN u < 128 THEN [u] ELSE [195, u - 64] END))"
+    crc = _crc(as_bytes)
+    hops = [
+        f"""roots_{k + 1} AS (
+  SELECT r.word, coalesce(f.form, r.root) AS root FROM roots_{k} r LEFT JOIN formed f ON f.word = r.root)"""
+        for k in range(steps)
+    ]
+    return rf"""WITH {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]{{6,}}')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+counted AS (SELECT doc || ':' || run AS name, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT run, n, {crc} AS h FROM counted, crc_table),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) + 2 AS BIGINT))
+      ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (
+  SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 5 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 5 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+roots_0 AS (SELECT word, word AS root FROM words),
+{", ".join(hops)}
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM formed f JOIN roots_{steps} r ON f.word = r.word"""
+
+
+SPELLING = _spelling()

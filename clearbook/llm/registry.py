@@ -14,11 +14,12 @@ from clearbook.llm.line_dedup import drop_common_lines
 from clearbook.llm.merkle import document_leaves, manifest
 from clearbook.llm.mixing import mix
 from clearbook.llm.neighbours import nearest
-from clearbook.llm.oracles import LINES, MERKLE, MIXING
+from clearbook.llm.oracles import LINES, MERKLE, MIXING, SPELLING
 from clearbook.llm.passages import repeated_passages
 from clearbook.llm.quality import fit, quality_scores
 from clearbook.llm.shared import read_table
 from clearbook.llm.simhash_dedup import hex_code, simhash_components
+from clearbook.llm.spelling import variant_groups, word_runs
 from clearbook.llm.token_counts import count_tokens
 from clearbook.llm.tool_calls import link_calls
 
@@ -125,6 +126,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every so often a run loses a character, by a hash of its document and itself: misspellings of known words."""
+    runs = word_runs(read_table(spark, sf_dir, "documents"), least_chars=6)
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    marked = runs.withColumn("h", F.crc32(name.cast("binary")))
+    place = (F.col("h") % F.length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run")))
+    words = marked.select(F.when(F.col("h") % 199 == 0, shorter).otherwise(F.col("run")).alias("word"))
+    return variant_groups(words.groupBy("word").agg(F.count("*").alias("n")), least_chars=6, least_n=5, ratio=5)
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -151,8 +163,9 @@ QUERIES: dict[str, Query] = {
     "op8_passages": op8_passages,
     "op9_html": op9_html,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling": op11_spelling,
     "op12_merkle": op12_merkle,
     "op13_line_dedup": op13_line_dedup,
 }
 
-SQL: dict[str, str] = {"op4_mixing": MIXING, "op12_merkle": MERKLE, "op13_line_dedup": LINES}
+SQL: dict[str, str] = {"op4_mixing": MIXING, "op11_spelling": SPELLING, "op12_merkle": MERKLE, "op13_line_dedup": LINES}
