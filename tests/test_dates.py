@@ -82,7 +82,7 @@ def test_forward_batches_are_capped(spark):
         ("2024-01-05", "2024-01-05"),
     ]
     assert len(batches(spark, "2024-01-01", "2024-12-31", 500, "forward")) == 4
-    with pytest.raises(ValueError, match="after end date"):
+    with pytest.raises(ValueError, match="before it begins"):
         dates.date_batches(spark, "2024-01-02", "2024-01-01", 2)
 
 
