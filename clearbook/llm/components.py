@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clearbook.llm.shared import apart, back, drop_kept, keep
@@ -13,20 +13,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round is two grouped minima, each joined back by node: partial sums on the map side, and a join whose other side
     is unique, so a node with very many edges is split by adaptive execution. Rounds end when the edge set stays the same;
-    their number grows with the logarithm of the longest path. Every round is a written table.
+    their number grows with the logarithm of the longest path. Every round is a written table, counted while it is written.
     """
-    stars = keep(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    before = _state(stars)
+    first = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    stars, before = _kept(first)
     while True:
         both = stars.select("u", "v").unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = apart(both, "u").agg(F.min("v").alias("m")).select(back("u"), "m").withColumn("m", F.least("u", "m"))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = apart(large, "u").agg(F.min("v").alias("m")).select(back("u"), "m")
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = keep(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = _state(after)
+        after, state = _kept(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         drop_kept(stars)
         stars = after
         if state == before:
@@ -36,7 +33,9 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Count and an order-free sum over the edges: equal for equal edge sets."""
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table, with count and an order-free sum of them, which are equal for equal edge sets."""
+    seen = Observation()
     mixed = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(mixed)).first())
+    table = keep(edges.observe(seen, F.count("*").alias("n"), F.sum(mixed).alias("mixed")), "edges")
+    return table, tuple(seen.get[name] for name in ("n", "mixed"))

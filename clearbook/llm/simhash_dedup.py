@@ -31,6 +31,7 @@ from clearbook.llm.similar import similar_components
 
 BITS = 64
 SEED = 42
+_ALL = (1 << BITS) - 1
 #: Words of the shingles that near copies are verified by.
 EXACT_SHINGLE = 5
 
@@ -57,30 +58,51 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches(mark, schema), "doc_id long, code long")
 
 
-def bk_links(codes: list[int], radius: int) -> list[tuple[int, int]]:
-    """Links that join all codes connected by steps of at most ``radius`` bits: one per code that is not its group's first."""
-    codes = sorted({c & 0xFFFFFFFFFFFFFFFF for c in codes})
-    children: list[dict[int, int]] = [{} for _ in codes]
-    parent = list(range(len(codes)))
+class Rooted:
+    """Codes in order, each with the root of the component it is known to be in; joining codes joins their roots."""
+
+    def __init__(self, codes: list[int], roots: list[int]):
+        of_code = dict(zip(codes, roots))
+        self.codes = sorted(of_code)
+        self.roots = sorted(set(roots))
+        place = {root: i for i, root in enumerate(self.roots)}
+        self.place = [place[of_code[code]] for code in self.codes]
+        self.parent = list(range(len(self.roots)))
+
+    def find(self, at: int) -> int:
+        parent = self.parent
+        while parent[at] != at:
+            parent[at] = at = parent[parent[at]]
+        return at
+
+    def join(self, i: int, j: int) -> None:
+        if (a := self.find(self.place[i])) != (b := self.find(self.place[j])):
+            self.parent[max(a, b)] = min(a, b)
+
+    def links(self) -> list[tuple[int, int]]:
+        """One link per root that is not the smallest of its component."""
+        return [(root, self.roots[top]) for i, root in enumerate(self.roots) if (top := self.find(i)) != i]
 
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
 
+def bk_links(codes: list[int], radius: int, roots: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links between the roots of all codes connected by steps of at most ``radius`` bits; a code is its own root by default."""
+    codes = [c & _ALL for c in codes]
+    rooted = Rooted(codes, codes if roots is None else [r & _ALL for r in roots])
+    codes = rooted.codes
+    children: list[dict[int, int]] = [{} for _ in codes]
     for i, code in enumerate(codes[1:], 1):
         stack = [0]
         while stack:
             at = stack.pop()
             distance = (codes[at] ^ code).bit_count()
-            if distance <= radius and (a := find(at)) != (b := find(i)):
-                parent[max(a, b)] = min(a, b)
+            if distance <= radius:
+                rooted.join(at, i)
             stack.extend(child for edge, child in children[at].items() if abs(edge - distance) <= radius)
         at = 0
         while (following := children[at].get(distance := (codes[at] ^ code).bit_count())) is not None:
             at = following
         children[at][distance] = i
-    return [(codes[i], codes[find(i)]) for i in range(len(codes)) if find(i) != i]
+    return rooted.links()
 
 
 def _signed(code: int) -> int:
@@ -88,48 +110,57 @@ def _signed(code: int) -> int:
 
 
 def _shard_links(shards: DataFrame, radius: int) -> DataFrame:
-    """BK-tree links of each row of ``shards`` (codes: array<long>)."""
+    """BK-tree links of each row of ``shards`` (codes: array of (code, root))."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def link(batch: pa.RecordBatch) -> dict:
-        links = [pair for codes in batch.column(0).to_pylist() for pair in bk_links(codes, radius)]
-        return {"a": [_signed(a) for a, _ in links], "b": [_signed(b) for _, b in links]}
+        found = []
+        for shard in batch.column(0):
+            codes, roots = (side.to_pylist() for side in shard.values.flatten())
+            found.extend(bk_links(codes, radius, roots))
+        return {"a": [_signed(a) for a, _ in found], "b": [_signed(b) for _, b in found]}
 
     return shards.select("codes").mapInArrow(batches(link, schema), "a long, b long")
 
 
-def _block_keys(radius: int, agree: int) -> F.Column:
+def block_choices(radius: int, agree: int) -> list[tuple[int, ...]]:
+    """All choices of ``agree`` of the blocks, those that have no block in common first."""
+    count = radius + agree
+    apart_ones = [tuple(range(i, i + agree)) for i in range(0, count - agree + 1, agree)]
+    return [*apart_ones, *(x for x in combinations(range(count), agree) if x not in apart_ones)]
+
+
+def _block_keys(radius: int, agree: int, choices: list[tuple[int, ...]]) -> F.Column:
     """One key per choice of blocks: the number of the choice and the bits of its blocks."""
     count = radius + agree
     edges = [BITS * i // count for i in range(count + 1)]
     masks = [(1 << edges[i + 1]) - (1 << edges[i]) for i in range(count)]
-    choices = [_signed(sum(masks[i] for i in chosen)) for chosen in combinations(range(count), agree)]
-    picked = F.transform(F.array(*map(F.lit, choices)), lambda mask, n: F.struct(n, F.col("code").bitwiseAND(mask)))
+    chosen = [_signed(sum(masks[i] for i in choice)) for choice in choices]
+    picked = F.transform(F.array(*map(F.lit, chosen)), lambda mask, n: F.struct(n, F.col("code").bitwiseAND(mask)))
     return picked.cast("array<struct<pair:int,bits:bigint>>")
 
 
-def tile_links(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that join codes of two tiles within ``radius``: a spanning forest, not all pairs."""
-    codes = np.unique(np.concatenate((left, right)))
-    place = np.searchsorted(codes, right)
-    parent = list(range(len(codes)))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    for i, code in zip(np.searchsorted(codes, left).tolist(), left):
+def tile_links(
+    left: np.ndarray, right: np.ndarray, radius: int, roots: tuple[np.ndarray, np.ndarray] | None = None
+) -> list[tuple[int, int]]:
+    """Links between the roots of the codes of two tiles within ``radius``: a spanning forest, not all pairs."""
+    codes = np.concatenate((left, right)).tolist()
+    rooted = Rooted(codes, codes if roots is None else np.concatenate(roots).tolist())
+    known = np.array(rooted.codes, left.dtype)
+    place = np.searchsorted(known, right)
+    for i, code in zip(np.searchsorted(known, left).tolist(), left):
         for j in place[np.bitwise_count(right ^ code) <= radius].tolist():
-            if (a := find(i)) != (b := find(j)):
-                parent[max(a, b)] = min(a, b)
-    return [(int(codes[i]), int(codes[find(i)])) for i in range(len(codes)) if find(i) != i]
+            rooted.join(i, j)
+    return rooted.links()
 
 
 def _dense_links(dense: DataFrame, radius: int, rows: int) -> DataFrame:
-    """Links within shards of many codes (key, n, code): each code meets every tile of its shard once."""
+    """Links within shards of many codes (key, n, code, root): each code meets every tile of its shard once."""
     tiles = F.ceil(F.col("n") / rows).cast("int")
-    dealt = dense.select("key", "code", tiles.alias("tiles"), F.pmod(F.xxhash64("code"), tiles).cast("int").alias("tile"))
+    dealt = dense.select(
+        "key", F.struct("code", "root").alias("code"), tiles.alias("tiles"),
+        F.pmod(F.xxhash64("code"), tiles).cast("int").alias("tile"),
+    )
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
     met = dealt.select("key", "code", "tile", other).select(
         "key", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "code"
@@ -141,40 +172,72 @@ def _dense_links(dense: DataFrame, radius: int, rows: int) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def link(batch: pa.RecordBatch) -> dict:
-        pairs = [
-            pair
-            for a, b in zip(batch.column(0), batch.column(1))
-            for pair in tile_links(np.asarray(a.values.to_numpy()), np.asarray(b.values.to_numpy()), radius)
-        ]
-        return {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}
+        found = []
+        for left, right in zip(batch.column(0), batch.column(1)):
+            a, b = ([part.to_numpy() for part in side.values.flatten()] for side in (left, right))
+            found.extend(tile_links(a[0], b[0], radius, (a[1], b[1])))
+        return {"a": [a for a, _ in found], "b": [b for _, b in found]}
 
     return sides.select("left", "right").mapInArrow(batches(link, schema), "a long, b long")
 
 
-def links(codes: DataFrame, radius: int = 2, agree: int = 2, shard_rows: int = 512) -> DataFrame:
-    """(a, b) over distinct fingerprints (code: long) that joins all within ``radius``, without listing all pairs."""
-    # One code becomes many rows here: they are made by as many tasks as a shuffle has, however small the table is.
+def links(
+    codes: DataFrame, radius: int = 2, agree: int = 2, shard_rows: int = 512, choices: list[tuple[int, ...]] | None = None
+) -> DataFrame:
+    """(a, b) over distinct fingerprints (code, root: long) that joins the roots of all within ``radius``, not by all pairs.
+
+    Without ``root`` a code is its own. ``choices`` are the choices of blocks to look at, all by default. Shards whose codes
+    have one root already give nothing.
+    """
+    if "root" not in codes.columns:
+        codes = codes.withColumn("root", F.col("code"))
+    # One code becomes many rows here: they are made by as many tasks as a shuffle has, however small the table is. The codes
+    # may be dealt by themselves already, so they are dealt by something else.
     tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = codes.repartition(tasks, "code")
-    keyed = spread.select(F.explode(_block_keys(radius, agree)).alias("key"), "code").select("key.*", "code")
+    spread = codes.repartition(tasks, F.xxhash64("code"))
+    keys = _block_keys(radius, agree, choices or block_choices(radius, agree))
+    keyed = spread.select(F.explode(keys).alias("key"), "code", "root").select("key.*", "code", "root")
     # Counted by another form of the bits, so that a join by the key deals both sides anew and may split a dense shard.
-    counted = keyed.groupBy("pair", F.bitwise_not("bits").alias("_bits")).agg(F.count("*").alias("n"))
-    crowded = counted.where(F.col("n") > shard_rows).select("pair", F.bitwise_not("_bits").alias("bits"), "n")
+    counted = keyed.groupBy("pair", F.bitwise_not("bits").alias("_bits")).agg(
+        F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("mixed")
+    )
+    crowded = counted.where(F.col("n") > shard_rows).select("pair", F.bitwise_not("_bits").alias("bits"), "n", "mixed")
     hot = keep(crowded, "crowded")
     side = F.broadcast(hot) if hot.count() <= 100_000 else hot
     key = F.struct("pair", "bits").alias("key")
-    small = keyed.join(side, ["pair", "bits"], "left_anti").groupBy(key).agg(F.collect_list("code").alias("codes"))
-    small = small.where(F.size("codes") > 1)
-    dense = keyed.join(side, ["pair", "bits"]).select(key, "n", "code")
+    small = keyed.join(side, ["pair", "bits"], "left_anti").groupBy(key)
+    small = small.agg(
+        F.collect_list(F.struct("code", "root")).alias("codes"), (F.min("root") < F.max("root")).alias("mixed")
+    ).where("mixed")
+    dense = keyed.join(side, ["pair", "bits"]).where("mixed").select(key, "n", "code", "root")
     if radius > 2:
         return _shard_links(small, radius).unionByName(_dense_links(dense, radius, 4 * shard_rows))
     flips = F.array(*(F.lit(_signed(mask)) for mask in (0, *(1 << bit for bit in range(BITS)))))
     around = F.explode(F.transform(flips, lambda mask: F.col("code").bitwiseXOR(mask))).alias("key")
-    balls = dense.select("code").distinct().select(around, "code").groupBy("key")
-    fine = balls.agg(F.collect_list("code").alias("codes")).where(F.size("codes") > 1)
+    balls = dense.select("code", "root").distinct().select(around, "code", "root").groupBy("key")
+    fine = balls.agg(F.collect_list(F.struct("code", "root")).alias("codes")).where(F.size("codes") > 1)
     return _shard_links(small.select("codes").unionByName(fine.select("codes")), radius)
 
 
+def code_components(codes: DataFrame, radius: int = 2, agree: int = 2, shard_rows: int = 512) -> DataFrame:
+    """(node, root) of the distinct fingerprints (code: long) that are linked to another; root is the smallest reached.
+
+    Over a radius of 2 there are many choices of blocks, and a large group would get other links from each of them. So the
+    choices that have no block in common come first; what they join is one root for the others, which only add links
+    between different roots.
+    """
+    if radius <= 2:
+        return components(links(codes, radius, agree, shard_rows))
+    choices = block_choices(radius, agree)
+    ahead = (radius + agree) // agree
+    first = components(links(codes, radius, agree, shard_rows, choices[:ahead]))
+    rooted = codes.join(first.withColumnRenamed("node", "code"), "code", "left")
+    rooted = keep(rooted.select("code", F.coalesce("root", "code").alias("root")), "rooted")
+    further = components(links(rooted, radius, agree, shard_rows, choices[ahead:]))
+    moved = further.select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    return rooted.join(moved, "root", "left").select(F.col("code").alias("node"), F.coalesce("_root", "root").alias("root"))
+
+
 def simhash_components(
     docs: DataFrame, shingle: int = 3, radius: int = 2, agree: int = 2, shard_rows: int = 512
 ) -> DataFrame:
@@ -186,7 +249,7 @@ def simhash_components(
     """
     marked = keep(fingerprints(docs, shingle), "codes")
     nodes = marked.groupBy("code").agg(F.min("doc_id").alias("first"))
-    roots = components(links(nodes.select("code"), radius, agree, shard_rows))
+    roots = code_components(nodes.select("code"), radius, agree, shard_rows)
     placed = nodes.join(roots.withColumnRenamed("node", "code"), "code", "left").select(
         "code", "first", F.coalesce("root", "code").alias("root")
     )

@@ -36,6 +36,14 @@ def simhash(text, size=3):
     return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
 
 
+def jaccard(a, b):
+    """Similarity of the sets of five-word shingles."""
+    one, two = (
+        {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} for own in (words(a), words(b))
+    )
+    return len(one & two) / len(one | two)
+
+
 def groups(nodes, linked):
     """{node: smallest node of its component} by comparing all pairs."""
     nodes = sorted(nodes)

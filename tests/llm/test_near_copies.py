@@ -3,14 +3,7 @@
 from __future__ import annotations
 
 from clearbook.llm.simhash_dedup import drop_near_copies
-from tests.llm.helpers import docs, groups, prose, simhash, words
-
-
-def jaccard(a, b):
-    one, two = (
-        {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} for own in (words(a), words(b))
-    )
-    return len(one & two) / len(one | two)
+from tests.llm.helpers import docs, groups, jaccard, prose, simhash
 
 
 def test_documents_of_close_codes_and_other_words_stay(spark):

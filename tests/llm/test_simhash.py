@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import components
-from clearbook.llm.simhash_dedup import bk_links, drop_near_copies, fingerprint, links, simhash_components, tile_links
+from clearbook.llm.simhash_dedup import (
+    bk_links, block_choices, code_components, drop_near_copies, fingerprint, links, simhash_components, tile_links,
+)
 from tests.llm.helpers import docs, groups, prose, simhash
 
 EDGES = [
@@ -50,6 +52,35 @@ def test_links_in_small_and_dense_shards(spark, radius, agree, shard_rows):
     assert groups(signed, lambda a, b: (min(a, b), max(a, b)) in found) == wanted
 
 
+@pytest.mark.parametrize("radius, agree, shard_rows", [(2, 2, 512), (6, 3, 512), (6, 3, 4), (5, 2, 16)])
+def test_components_of_codes_in_two_rounds(spark, radius, agree, shard_rows):
+    rng = random.Random(radius)
+    base = [rng.getrandbits(64) for _ in range(8)]
+    codes = {b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(6))) & (2**64 - 1) for b in base for _ in range(12)}
+    signed = sorted(c - (1 << 64) if c >> 63 else c for c in codes)
+    found = code_components(spark.createDataFrame([(c,) for c in signed], "code long"), radius, agree, shard_rows).collect()
+    wanted = groups(signed, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= radius)
+    of = {r.node: r.root for r in found}
+    assert len(of) == len(found)
+    assert groups(signed, lambda a, b: of.get(a, a) == of.get(b, b)) == wanted
+
+
+def test_a_large_group_gets_few_links(spark):
+    rng = random.Random(3)
+    base = rng.getrandbits(62)
+    codes = set()
+    while len(codes) < 3200:
+        codes.add(base ^ sum(1 << b for b in rng.sample(range(62), 3)))
+    frame = spark.createDataFrame([(c,) for c in codes], "code long")
+    choices = block_choices(6, 3)
+    first = links(frame, 6, 3, 512, choices[:3]).distinct()
+    roots = components(first).withColumnRenamed("node", "code")
+    rooted = frame.join(roots, "code", "left").select("code", F.coalesce("root", "code").alias("root"))
+    further = links(rooted, 6, 3, 512, choices[3:]).distinct()
+    assert first.count() + further.count() < 4 * len(codes)
+    assert {r.root for r in code_components(frame, 6, 3).collect()} == {min(codes)}
+
+
 def test_components_with_odd_rows(spark):
     table = docs(spark, EDGES, "code int, component_id int, first int, `a.b` int")
     found = simhash_components(table).collect()
