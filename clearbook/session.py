@@ -15,6 +15,8 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Rows may hold whole texts: a batch that goes to Python and back is in memory several times.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
