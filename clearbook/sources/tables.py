@@ -75,6 +75,11 @@ def append_tables(frames: dict[str, DataFrame | None], database: str, loaded_at:
     return written
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter(F.col("col_name") == "Location")
+    return described.first()["data_type"]
+
+
 def overwrite_dates(df: DataFrame, table: str, loaded_at: dt.datetime) -> None:
     """Replace the delivery dates the rows belong to and leave all others: repeating it changes nothing.
 
@@ -82,9 +87,8 @@ def overwrite_dates(df: DataFrame, table: str, loaded_at: dt.datetime) -> None:
     one session do not disturb each other.
     """
     spark = df.sparkSession
-    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter(F.col("col_name") == "Location")
     writer = _in_table_order(stamp(df, loaded_at), table).write.mode("overwrite").partitionBy(DATE)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(described.first()["data_type"])
+    writer.option("partitionOverwriteMode", "dynamic").parquet(table_location(spark, table))
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
 

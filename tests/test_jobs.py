@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -11,7 +12,7 @@ from clearbook import schemas, session
 from clearbook.operators import conform, filters, joins
 from clearbook.operators import prices as price_ops
 from clearbook.plans import backfill, monthly, paired, price_load, update
-from clearbook.sources import delimited, participants, tables
+from clearbook.sources import delimited, loads, participants, tables
 from clearbook.streaming import ingest
 from tests.market import DAY, award, market, order, price
 from tests.test_sources import AWARD_HEADER, PRICE_HEADER, write, zipped
@@ -160,7 +161,9 @@ def test_monthly_load(spark, rows, database, tmp_path):
     )
     run = (spark, files, database, str(tmp_path / "out"), "2024-01-15", "2024-01-20", 60, NOW)
     written = monthly.load_months(*run)
-    assert rows(spark.table(f"{database}.prices"), "settlement_point", "hour_ending", "price") == [("HB", 1, 15.0)]
+    assert rows(spark.table(f"{database}.prices"), "settlement_point", "hour_ending", "price") == [
+        ("HB", 1, 15.0), ("unused", 1, 15.0)
+    ]
     final = spark.read.parquet(written["final"])
     assert rows(final, "bid_id", "offer_id", "bid_price1", "offer_mw1", "bid_block_curve", "market_price") == [
         ("b1", "o1", 7.0, 4.0, True, 15.0)
@@ -213,6 +216,78 @@ def test_two_months_settle_from_what_is_stored(spark, rows, database, tmp_path):
     assert load(listed, "2024-03-15", "2024-03-20") == {}
 
 
+def test_a_point_awarded_later_keeps_its_price(spark, rows, database, tmp_path):
+    """Prices come with the first month for points whose first award comes with the second."""
+    text = "\n".join(f"{month}/15/2024,1,1,{point},LZ,{value},N" for month, point, value in (("01", "HB", 10), ("02", "NEW", 20)))
+    moved = {name: data for name, data in day_bundle("15-FEB-24", "02/15/2024").items()}
+    inner = {
+        "60d_DAM_EnergyBidAwards-15-FEB-24.csv": f"{AWARD_HEADER}\n02/15/2024,1,NEW,QA,5,6,b2\n",
+        "60d_DAM_EnergyOnlyOfferAwards-15-FEB-24.csv": f"{OFFER_HEADER}\n02/15/2024,1,NEW,QA,4,6,o2\n",
+    }
+    folder = write(
+        tmp_path / "drop",
+        {
+            "jan.zip": zipped(day_bundle("15-JAN-24", "01/15/2024")),
+            "feb.zip": zipped({**moved, "more.zip": zipped(inner)}),
+            "spp.zip": zipped({"spp.zip": zipped({"cdr_SPP.csv": f"{PRICE_HEADER}\n{text}\n"})}),
+        },
+    )
+    listed = [
+        ("DAM", "d1", "2024-03-20T00", "a", f"{folder}/jan.zip"), ("DAM", "d2", "2024-04-20T00", "b", f"{folder}/feb.zip"),
+        ("SPP", "s1", "2024-01-31T00", "e", f"{folder}/spp.zip"),
+    ]
+    files = spark.createDataFrame(listed, "product string, doc_id string, post_datetime string, friendly_name string, path string")
+    for start, end in (("2024-01-15", "2024-01-20"), ("2024-02-15", "2024-02-20")):
+        monthly.load_months(spark, files, database, str(tmp_path / "out"), start, end, 60, NOW)
+    final = rows(spark.read.parquet(str(tmp_path / "out/final")), "settlement_point", "bid_id", "market_price")
+    assert final == [("HB", "b1", 10.0), ("NEW", "b2", 20.0)]
+
+
+def test_a_load_is_published_once(spark, rows, database, small, monkeypatch):
+    """Killed after some files were moved, started again, started twice at once, and started after it was done."""
+    built = []
+
+    def build():
+        built.append(1)
+        record = spark.createDataFrame([("DAM", "2024-03", "d", None, None)], schemas.LEDGER)
+        days = small.bids.unionByName(small.bids.withColumn("delivery_date", F.lit("2024-01-02").cast("date")))
+        return {"bids": days.drop("seq"), "prices": small.prices, "ledger": record}
+
+    def counts():
+        return tuple(spark.table(f"{database}.{name}").count() for name in ("bids", "prices", "ledger"))
+
+    move, moved = loads._Files.move, []
+
+    def killed(self, source, target):
+        if len(moved) == 1:
+            raise KeyboardInterrupt
+        moved.append(source)
+        move(self, source, target)
+
+    monkeypatch.setattr(loads._Files, "move", killed)
+    with pytest.raises(KeyboardInterrupt):
+        loads.publish_once(spark, database, "DAM-2024-03", build, NOW)
+    monkeypatch.setattr(loads._Files, "move", move)
+    assert len(moved) == 1 and spark.table(f"{database}.ledger").isEmpty()
+    assert loads.publish_once(spark, database, "DAM-2024-03", build, NOW) and counts() == (2, 1, 1)
+    assert not loads.publish_once(spark, database, "DAM-2024-03", build, NOW) and len(built) == 1
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(loads.publish_once, spark, database, "DAM-2024-04", build, NOW) for _ in range(2)]
+        assert all(run.result() in (True, False) for run in runs)
+    assert counts() == (4, 2, 2)
+    with pytest.raises(ValueError, match="folder name"):
+        loads.publish_once(spark, database, "a/b", build, NOW)
+
+
+def test_an_attempt_that_dies_while_staging_leaves_nothing(spark, database, small):
+    broken = small.bids.drop("seq").withColumn("mw1", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        loads.publish_once(spark, database, "x", lambda: {"prices": small.prices, "bids": broken}, NOW)
+    assert spark.table(f"{database}.prices").isEmpty()
+    assert loads.publish_once(spark, database, "x", lambda: {"prices": small.prices}, NOW)
+    assert spark.table(f"{database}.prices").count() == 1
+
+
 def test_update_is_stored_once(spark, rows, database, small, tmp_path):
     dates = ("2024-01-01", "2024-01-31")
     for _ in range(2):
