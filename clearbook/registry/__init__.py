@@ -37,6 +37,8 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         settlement,
         storage,
         jobs,  # isort: skip  uses the SQL of others
+        archiving,  # isort: skip
+        updating,  # isort: skip
     )
 
     return dict(QUERIES), dict(SQL)

@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from clearbook.sources import archives, delimited, listing
+from clearbook.sources import archives, delimited, listing, zip_source
 from clearbook.sources import json_pages as pages
 from clearbook.sources.routing import table_for_file
 
@@ -124,7 +124,7 @@ def test_price_members(spark, rows, tmp_path):
 
 
 def test_long_members_come_in_chunks(spark, tmp_path):
-    count = archives.LINES_PER_CHUNK * 2 + 5
+    count = zip_source.LINES_PER_CHUNK * 2 + 5
     body = AWARD_HEADER + "\n" + "".join(f"2024-01-01,1,HB,QA,1,1,b{i}\n" for i in range(count))
     path = write(tmp_path / "zips", {"z.zip": zipped({"60d_DAM_EnergyBidAwards-x.csv": body})})
     chunks = archives.archive_chunks(spark, path)
@@ -133,6 +133,45 @@ def test_long_members_come_in_chunks(spark, tmp_path):
     assert [(r.line_no, r.order_id) for r in got] == [(i + 1, f"b{i}") for i in range(count)]
 
 
+def test_one_archive_is_read_by_many_tasks(spark, rows, tmp_path):
+    days = {f"day{i}.zip": zipped({f"60d_DAM_EnergyBidAwards-{i}.csv": f"{AWARD_HEADER}\n2024-01-01,{i},HB,QA,1,1,b{i}\n"}) for i in range(1, 8)}
+    path = write(tmp_path / "zips", {"month.zip": zipped(days)})
+    single, spread = (archives.archive_chunks(spark, path, size) for size in (1 << 20, 1))
+    assert (single.rdd.getNumPartitions(), spread.rdd.getNumPartitions()) == (1, 7)
+    found = [rows(archives.archive_rows(chunks, "bid_awards"), "member", "order_id") for chunks in (single, spread)]
+    assert found[0] == found[1] == [(f"60d_DAM_EnergyBidAwards-{i}.csv", f"b{i}") for i in range(1, 8)]
+
+
+def read_here(path, size=1 << 20):
+    reader = zip_source.ArchiveReader({"paths": json.dumps([f"file://{path}"]), "bytes_per_task": str(size)})
+    return [row for part in reader.partitions() for batch in reader.read(part) for row in batch.to_pylist()]
+
+
+def test_large_inner_archives_are_read_as_streams(tmp_path, monkeypatch):
+    (tmp_path / "z.zip").write_bytes(bundle())
+    whole = read_here(tmp_path / "z.zip")
+    monkeypatch.setattr(zip_source, "INNER_IN_MEMORY", 0)
+    monkeypatch.setattr(zip_source, "_READ", 7)
+    assert read_here(tmp_path / "z.zip", 1) == whole
+    assert sorted(row["reason"] for row in whole if row["reason"]) == ["archive: BadZipFile", "text: not UTF-8"]
+
+
+def test_damage_at_the_end_of_an_entry_leaves_no_rows(tmp_path):
+    body = "a,b\n" + "1,2\n" * 9000
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as archive:
+        archive.writestr("bad.csv", body)
+        archive.writestr("good.csv", "a,b\n3,4\n")
+    data = bytearray(buffer.getvalue())
+    data[data.index(b"PK", 4) - 2] = ord("9")
+    (tmp_path / "z.zip").write_bytes(bytes(data))
+    assert [(row["member"], row["rows"], row["reason"]) for row in read_here(tmp_path / "z.zip")] == [
+        ("bad.csv", None, "entry: BadZipFile"), ("good.csv", [["3", "4"]], None)
+    ]
+    (tmp_path / "none.zip").write_bytes(zipped({"note.txt": "x"}))
+    assert read_here(tmp_path / "none.zip") == []
+
+
 def test_routing(spark):
     names = ["60d_DAM_EnergyBidAwards-1.csv", "x60d_DAM_EnergyOnlyOffers-1.csv", "60d_DAM_EnergyBids.csv"]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").orderBy("i")
