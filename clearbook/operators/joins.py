@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook import schemas
-from clearbook.operators.bounded import SmallList, drop_listed, keep_listed
+from clearbook.operators.bounded import SmallList, keep_listed
 from clearbook.operators.dedup import keep_first
+from clearbook.operators.presence import not_in_cells
 from clearbook.operators.skew import left_join_hot_right, null_safe_join, pair_join_hot
 
 AWARD_ORDER_KEYS = ["order_id", "delivery_date", "hour_ending"]
@@ -107,33 +108,22 @@ def prices_at_points(prices: DataFrame, points: DataFrame, on_empty: str = "drop
     return keep_listed(prices, listed, ["settlement_point"])
 
 
-def at_common_pairs(df: DataFrame, pairs: SmallList) -> DataFrame:
-    """Rows at the listed (date, hour) pairs."""
-    return keep_listed(df, pairs, ["delivery_date", "hour_ending"])
-
-
-def _stored_at(incoming: DataFrame, stored: DataFrame, date: str) -> DataFrame:
-    """Stored rows of the dates that come in; on a date-partitioned table the others are not read."""
-    return keep_listed(stored, SmallList(incoming.select(date).distinct()), [date])
-
-
 def new_by_date(incoming: DataFrame, stored: DataFrame, date: str = "delivery_date") -> DataFrame:
-    """Rows of dates not stored yet; a NULL date counts as new. Repeats within the incoming rows stay."""
-    known = _stored_at(incoming, stored, date).select(date).distinct()
-    return drop_listed(incoming, SmallList(known), [date])
+    """Rows of dates not stored yet; a NULL date counts as new. Repeats within the incoming rows stay.
+
+    No job runs while this is built. Dates of type DATE are as many as the calendar has, so they are broadcast; others are
+    left to Spark.
+    """
+    known = stored.select(F.col(date).alias("_stored")).distinct()
+    side = F.broadcast(known) if dict(stored.dtypes)[date] == "date" else known
+    return incoming.join(side, F.col(date) == F.col("_stored"), "left_anti")
 
 
 def new_by_interval(
     incoming: DataFrame, stored: DataFrame, date: str = "delivery_date", hour: str = "hour_ending", interval: str = "interval"
 ) -> DataFrame:
-    """Rows of (date, hour, interval) cells not stored yet.
+    """Rows of (date, hour, interval) cells not stored yet, by bitmaps of the stored cells; no job runs while it is built.
 
     A row without hour or interval is judged by its date alone; one without a date is new.
     """
-    cells = [date, hour, interval]
-    known = SmallList(_stored_at(incoming, stored, date).select(*cells).distinct())
-    fresh = drop_listed(incoming, known, cells)
-    by_date = "_date_if_partial"
-    partial = F.when(F.col(hour).isNull() | F.col(interval).isNull(), F.col(date))
-    dates = SmallList(known.frame.select(date).distinct())
-    return drop_listed(fresh.withColumn(by_date, partial), dates, [by_date]).drop(by_date)
+    return not_in_cells(incoming, stored, date, hour, interval)

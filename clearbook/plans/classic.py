@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from clearbook import schemas
 from clearbook.functions.curve import LADDER_LEVELS, ladder_price, ladder_size, settlement_price
-from clearbook.operators.bounded import SmallList
 from clearbook.operators.filters import between_dates
-from clearbook.operators.joins import AWARD_ORDER_KEYS, at_common_pairs, award_order_left, award_price_left
-from clearbook.operators.sets import common_pairs
+from clearbook.operators.joins import AWARD_ORDER_KEYS, award_order_left, award_price_left
+from clearbook.operators.presence import at_masks, common_masks
 from clearbook.operators.skew import ROWS_PER_SALT, hot_keys
 
 
@@ -66,23 +65,25 @@ def classic_final(
     max_level: int = LADDER_LEVELS,
     restrict_to_common_pairs: bool = True,
     rows_per_salt: int | None = ROWS_PER_SALT,
+    common: DataFrame | None = None,
 ) -> DataFrame:
     """One row per award, bids and offers together, with order curve figures and market price.
 
     Awards count only for (date, hour) pairs present in all five tables. An award without order or price stays; its
     settlement price falls back to its own. Raw interval prices multiply the rows, hourly prices do not. An order id
     with very many orders in one hour is spread over tasks of ``rows_per_salt`` rows; None trusts there is none.
+
+    Common pairs are a mask of hours per date, from the tables themselves or, in ``common``, from what was kept of them when
+    they were loaded; hours are numbers from 0 to 63. Awards are cut to them before anything is shuffled, and with kept masks,
+    which take no pass over the tables, all inputs are.
     """
     if start is not None and end is not None:
         tables = tables.between(start, end)
-    if restrict_to_common_pairs:
-        pairs = SmallList(common_pairs(tables.all()))
-        dates = pairs.bounds("delivery_date")
-        # Nothing outside these dates can be part of the result; on partitioned tables the rest is not read.
-        tables = tables.between(*dates) if dates else tables
+    if restrict_to_common_pairs and common is not None:
+        tables = tables.map(lambda df: at_masks(df, common))
     awards = _both_sides(tables.bid_awards, tables.offer_awards)
-    if restrict_to_common_pairs:
-        awards = at_common_pairs(awards, pairs)
+    if restrict_to_common_pairs and common is None:
+        awards = at_masks(awards, common_masks(tables.all()))
     orders = _both_sides(order_summary(tables.bids, max_level), order_summary(tables.offers, max_level))
     keys = ["side", *AWARD_ORDER_KEYS]
     hot = hot_keys(orders.dropna(subset=keys), keys, rows_per_salt) if rows_per_salt else None

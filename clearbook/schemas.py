@@ -96,6 +96,9 @@ LEDGER = _struct(
     ]
 )
 
+#: Hours that a stored table has of a date, one bit each.
+PRESENCE = _struct([("table_name", T.StringType()), ("hours", T.LongType()), ("delivery_date", T.DateType())])
+
 TABLES = {
     "bids": ORDERS,
     "bid_awards": AWARDS,

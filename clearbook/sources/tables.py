@@ -27,6 +27,7 @@ STORED = {
     "price_intervals": schemas.PRICES,
     "final": schemas.CLASSIC_FINAL,
     "ledger": schemas.LEDGER,
+    "presence": schemas.PRESENCE,
 }
 
 

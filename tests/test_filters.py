@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 from clearbook import schemas
-from clearbook.operators import bounded, filters, joins, sets
+from clearbook.operators import bounded, filters, joins, presence, sets
 from clearbook.sources import participants
 
 
@@ -68,6 +71,35 @@ def test_new_rows_by_interval(spark, rows):
     assert rows(joins.new_by_interval(incoming, stored)) == [(None, 1, 1), ("d1", 1, 2), ("d2", None, None)]
 
 
+def test_new_rows_by_interval_outside_the_bitmaps(spark, rows):
+    layout = "delivery_date date, hour_ending int, interval int, v int"
+    day, other = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    cells = [(h, i) for h in (-1, 0, 1, 24, 63, 64, 100) for i in (-1, 0, 4, 15, 16, 99)] + [(None, 1), (1, None), (None, None)]
+    stored_cells = [cell for n, cell in enumerate(cells) if n % 3 == 0]
+    stored = spark.createDataFrame([(day, *cell, 0) for cell in stored_cells] + [(None, 1, 1, 0)], layout)
+    incoming = [(d, *cell, n) for d in (day, other, None) for n, cell in enumerate(cells)]
+    known = {cell for cell in stored_cells if None not in cell}
+    wanted = [r for r in incoming if r[0] != day or (None not in r[1:3] and r[1:3] not in known)]
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    fresh = joins.new_by_interval(spark.createDataFrame(incoming, layout), stored)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert sorted(map(str, rows(fresh))) == sorted(map(str, wanted))
+
+
+def test_hour_masks(spark, rows):
+    layout = "delivery_date date, hour_ending int"
+    day, other = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    a = spark.createDataFrame([(day, 1), (day, 24), (day, 63), (day, 64), (other, 2), (None, 1), (day, None), (day, -1)], layout)
+    b = spark.createDataFrame([(day, 24), (day, 63), (day, 3), (other, 1)], layout)
+    common = presence.common_masks([a, b])
+    assert rows(common) == [(day, (1 << 24) | (1 << 63) - (1 << 64))]
+    assert rows(presence.at_masks(a, common)) == [(day, 24), (day, 63)]
+    kept = [presence.hour_masks(df).withColumn("table_name", F.lit(name)) for name, df in (("a", a), ("b", b), ("b", b))]
+    stored = kept[0].unionByName(kept[1]).unionByName(kept[2])
+    assert rows(presence.common_stored(stored, ["a", "b"])) == rows(common)
+    assert rows(presence.common_stored(stored, ["a", "b", "c"])) == []
+
+
 def pairs(spark, *values):
     return spark.createDataFrame(list(values), "delivery_date string, hour_ending int")
 

@@ -174,10 +174,16 @@ def test_classic_reads_only_what_it_needs(spark, stand_in):
     final = classic_final(stand_in)
     plan = plan_of(final)
     assert "l_discount" not in plan and "l_shipdate" not in plan
-    # The dates all tables have bound every scan of the events.
-    assert plan.count("GreaterThanOrEqual(ts") >= 1 and plan.count("LessThan(ts") >= 1
-    # Each side is read once for awards and once for orders, each joined once; prices are read once.
-    assert plan.count("FileScan") == 5
+    # Every input is read once for itself and once, by date and hour only, for the hours that all have; bids and offers
+    # share these.
+    assert plan.count("FileScan") == 15
+    final.collect()
+    last = final._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert last.count("FileScan") == 10 and "ReusedExchange" in last
+    masks = spark.createDataFrame([("2024-01-01", -2)], "delivery_date string, hours long").withColumn(
+        "delivery_date", F.col("delivery_date").cast("date")
+    )
+    assert plan_of(classic_final(stand_in, common=masks)).count("FileScan") == 5
 
 
 def test_common_pairs_shuffle_once(spark, stand_in):
