@@ -187,7 +187,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
             if status != "orphan":
                 try:
                     value = read_json(text or "")
-                    canonical(value)
+                    # As deep as it will stand in the record; half a surrogate pair is no text.
+                    canonical({"arguments": value}).encode()
                 except (ValueError, RecursionError):
                     value, found = text, ["$: not JSON"]
                 if not found:

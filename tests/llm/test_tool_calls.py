@@ -94,3 +94,14 @@ def test_linking_with_odd_rows(spark):
     assert found[1, "q"].status == "orphan" and found[1, "q"].valid is None
     assert found[2, "e"].status == "linked" and not found[2, "e"].valid
     assert link_calls(calls.where("false"), results.where("false"), {}).collect() == []
+
+
+def test_half_a_surrogate_pair_and_deep_arguments_are_not_json(spark):
+    texts = ['{"q":"\\ud83d"}', '{"q":"\\ud83d\\ude00"}', *("[" * n + "]" * n for n in range(200, 2400, 37)), "[" * 100000]
+    calls = spark.createDataFrame([(1, i, f"c{i}", "find", text, None) for i, text in enumerate(texts)], CALLS)
+    results = spark.createDataFrame([], RESULTS)
+    found = {r.call_id: r for r in link_calls(calls, results, {"find": {}}).collect()}
+    assert len(found) == len(texts)
+    assert found["c0"].errors == ["$: not JSON"] and json.loads(found["c0"].json)["arguments"] == texts[0]
+    assert found["c1"].valid and "\U0001f600" in found["c1"].json
+    assert found["c2"].valid and found[f"c{len(texts) - 1}"].errors == ["$: not JSON"]
