@@ -11,8 +11,9 @@ depends on what it holds.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ from clearbook.llm.shared import batches
 
 #: Words longer than this are encoded each time: they rarely come again, and would fill the caches.
 LONGEST = 64
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
 
 @functools.cache
@@ -70,6 +71,17 @@ class WordCounter:
         return totals
 
 
+_COUNTERS: dict[str, WordCounter] = {}
+
+
+def worker_counter(key: str, path: str, table: Callable[[], dict[str, int]]) -> WordCounter:
+    """The counter of this worker process for one job: the tasks that it runs one after the other share what it knows."""
+    if key not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = WordCounter(table(), path)
+    return _COUNTERS[key]
+
+
 def frequent_words(texts: DataFrame, words: int, per_task: int = 4096) -> list[str]:
     """The ``words`` most frequent words of all ``texts`` (text), from at most ``per_task`` words of each task."""
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
@@ -102,13 +114,11 @@ def count_tokens(docs: DataFrame, path: str, table_words: int = 20_000) -> DataF
     names = frequent_words(docs.where("text is not null"), table_words)
     table = dict(zip(names, count_direct(names, path))) if names else {}
     sent = docs.sparkSession.sparkContext.broadcast(table)
-    counters: dict[str, WordCounter] = {}
+    key = uuid.uuid4().hex
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def count(batch: pa.RecordBatch) -> dict:
-        counter = counters.get(path)
-        if counter is None:
-            counter = counters[path] = WordCounter(sent.value, path)
+        counter = worker_counter(key, path, lambda: sent.value)
         texts = batch.column(2).to_pylist()
         return {"doc_id": batch.column(0), "n_bytes": batch.column(1), "n_tokens": counter.count(texts)}
 

@@ -44,6 +44,16 @@ def test_word_counter_forgets_and_counts_on(monkeypatch):
         assert counter.count(texts) == token_counts.count_direct(texts, TOKENIZER)
 
 
+def test_tasks_of_a_worker_share_a_counter():
+    from clearbook.llm import token_counts
+
+    made = []
+    first = token_counts.worker_counter("job", TOKENIZER, lambda: made.append(1) or {"a": 1})
+    assert token_counts.worker_counter("job", TOKENIZER, lambda: made.append(1) or {}) is first and made == [1]
+    other = token_counts.worker_counter("next", TOKENIZER, lambda: {})
+    assert other is not first and list(token_counts._COUNTERS) == ["next"]
+
+
 def brute_targets(sizes, weights=(5, 2, 1), epochs=3):
     names = sorted((n for n in sizes if n is not None), key=lambda n: n.encode()) + [None] * (None in sizes)
     weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
