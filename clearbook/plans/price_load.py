@@ -76,7 +76,10 @@ def load_prices(
     intervals, hourly = f"{database}.price_intervals", f"{database}.prices"
     touched_dates = conform_table(records, "prices").select(tables.DATE).filter(F.col(tables.DATE).isNotNull())
     touched = SmallList(touched_dates.distinct())
-    known = keep_listed(tables.read_or_empty(spark, intervals, schemas.PRICES), touched, [tables.DATE])
+    stored = tables.read_or_empty(spark, intervals, schemas.PRICES)
+    # Rows without a date are compared with all that have none: they are in no hour, and stored once like others.
+    undated = stored.filter(F.col(tables.DATE).isNull())
+    known = keep_listed(stored, touched, [tables.DATE]).unionByName(undated)
     tables.append_rows(new_intervals(records, known), intervals, loaded_at)
     raw = keep_listed(spark.table(intervals), touched, [tables.DATE]).drop("inserted_at")
     average = hourly_by_point if by_point else hourly_by_hour

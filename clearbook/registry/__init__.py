@@ -39,6 +39,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         jobs,  # isort: skip  uses the SQL of others
         archiving,  # isort: skip
         updating,  # isort: skip
+        reporting,  # isort: skip
     )
 
     return dict(QUERIES), dict(SQL)

@@ -9,6 +9,7 @@ from clearbook.operators.conform import conform_table, publish
 from clearbook.plans.backfill import select_source
 from clearbook.plans.price_load import new_prices
 from clearbook.registry import query
+from clearbook.registry.filtering import LISTED_SQL, listed_points
 from clearbook.registry.settlement import rounded, text_dates
 from clearbook.registry.storage import fresh_path
 from clearbook.schemas import AWARDS, CLASSIC_NAMES
@@ -70,18 +71,17 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, hour_ending, settlement_point, round(avg(price), 7) AS price,
   arg_min("interval", event_id) AS "interval", 'LZ' AS point_type,
   arg_min(dst_flag, CASE WHEN dst_flag IS NOT NULL THEN event_id END) AS dst_flag
-FROM prices p WHERE settlement_point IN ('view', 'error') AND NOT EXISTS (
+FROM prices p WHERE settlement_point IN ({LISTED_SQL}) AND NOT EXISTS (
   SELECT 1 FROM stored s WHERE s.delivery_date = p.delivery_date AND s.hour_ending = p.hour_ending
     AND s."interval" = p."interval")
 GROUP BY delivery_date, hour_ending, settlement_point"""
 )
 def price_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records under published names to new hourly prices at awarded points."""
+    """Records under published names to new hourly prices at listed points."""
     prices = interval_prices(spark, sf_dir)
     stored = prices.filter((F.col("settlement_point") == "click") & (F.col("delivery_date") < "2024-01-20"))
     records = publish(prices, CLASSIC_NAMES["prices"] | {"event_id": "event_id"})
-    points = market_tables(spark, sf_dir).bid_awards.select("settlement_point")
-    points = points.filter(F.col("settlement_point").isin("view", "error")).distinct()
+    points = listed_points(spark, sf_dir)
     return text_dates(rounded(new_prices(records, stored, "event_id", points=points), "price"))
 
 

@@ -94,6 +94,11 @@ def test_price_load(spark, rows, database):
     other = later.withColumns({"deliveryInterval": F.lit(1), "settlementPointName": F.lit("SP2")})
     price_load.load_prices(later.unionByName(other), database, NOW)
     assert rows(spark.table(table), "settlement_point", "interval", "price") == [("SP1", 1, 50.0), ("SP2", 1, 90.0)]
+    undated = records.withColumn("deliveryDate", F.lit(None).cast("string")).unionByName(records)
+    for _ in range(2):
+        price_load.load_prices(undated, database, NOW)
+    assert spark.table(f"{database}.price_intervals").filter("delivery_date is null").count() == 3
+    assert spark.table(table).filter("delivery_date is null").isEmpty()
     with pytest.raises(ValueError, match="Missing required fields"):
         price_load.load_prices(records.drop("dstFlag"), database, NOW)
 
