@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clearbook import schemas
 from clearbook.operators import conform as conforming
 from clearbook.operators import filters, joins, quality
+from clearbook.operators.sketches import BOUND, column_sketches, merged_sketches, sketched_profile
 from clearbook.plans.load_report import load_with_report
 from clearbook.registry import query
 from clearbook.registry.filtering import TRACKED_SQL, tracked_names
@@ -17,7 +18,8 @@ from clearbook.registry.storage import fresh_path
 from clearbook.schemas import AWARDS, CLASSIC_NAMES, ORDERS
 from clearbook.sources import tables
 from clearbook.sources.delimited import scan_by_header, scan_prices
-from clearbook.standin import MARKET_SQL, interval_prices, market_tables
+from clearbook.standin import MARKET_SQL, interval_prices, market_tables, table
+from clearbook.streaming.hourly import ingest_hourly, read_hourly
 from clearbook.streaming.ingest import batch_writer, ingest_and_merge
 
 
@@ -180,3 +182,43 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         run = ingest_and_merge(spark, f"{root}-drop", header, "bid_awards", root, f"{root}-checkpoint")
         run.awaitTermination()
     return text_dates(rounded(spark.read.parquet(f"{root}/final"), "settlement_price", "mark_price"))
+
+
+@query(
+    f"""{MARKET_SQL}
+SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, hour_ending, settlement_point, round(avg(price), 7) AS price,
+  min("interval") AS "interval", count(*) AS n_intervals
+FROM prices WHERE settlement_point IS NOT NULL GROUP BY ALL"""
+)
+def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price files taken in by a stream in three drops, out of order and cutting through hours."""
+    path = fresh_path(spark, "hourly")
+    header = [CLASSIC_NAMES["prices"][name] for name in schemas.PRICES.names]
+    market = interval_prices(spark, sf_dir).select(*schemas.PRICES.names)
+    late, third = F.col("delivery_date") >= "2024-01-16", F.col("interval") == 3
+    for part in (late & ~third, ~late | F.col("delivery_date").isNull(), late & third):
+        published = conforming.publish(market.filter(part), CLASSIC_NAMES["prices"])
+        published.write.mode("append").option("header", True).csv(f"{path}/drop")
+        run = ingest_hourly(spark, f"{path}/drop", header, f"{path}/hourly", f"{path}/checkpoint")
+        run.awaitTermination()
+    return text_dates(rounded(read_hourly(spark, f"{path}/hourly"), "price"))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count(v) AS n_missing, 'true' AS within_bound "
+        f"FROM (SELECT {name} AS v FROM lineitem)"
+        for name in ["l_suppkey", "l_partkey", "l_orderkey", "l_linenumber"]
+    )
+)
+def sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of four loads, kept and merged: rows, and whether the estimated distinct values keep to their bound."""
+    lines, names = table(spark, sf_dir, "lineitem"), ["l_suppkey", "l_partkey", "l_orderkey", "l_linenumber"]
+    path = fresh_path(spark, "sketches")
+    for load in range(4):
+        column_sketches(lines.filter(F.col("l_partkey") % 4 == load), names).write.mode("append").parquet(path)
+    merged = sketched_profile(merged_sketches(spark.read.parquet(path)))
+    exact = lines.agg(F.array(*(F.struct(F.lit(n).alias("column_name"), F.count_distinct(n).alias("n")) for n in names)).alias("c"))
+    both = merged.join(exact.select(F.inline("c")), "column_name")
+    within = F.abs(F.col("n_distinct") - F.col("n")) <= BOUND * F.col("n")
+    return both.select("column_name", "n_rows", "n_missing", within.cast("string").alias("within_bound"))
