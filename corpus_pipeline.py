@@ -6,6 +6,8 @@ stage returns to the shared folder and reads it again for the next. The last sta
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ from clearbook.llm.passages import drop_repeated
 from clearbook.llm.quality import fit, quality_scores, score_quality
 from clearbook.llm.shared import columns_of, keep, read_table
 from clearbook.llm.simhash_dedup import drop_near_copies
+from clearbook.session import apply_settings
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: A document of a lower score is rejected.
 LEAST_QUALITY = 0.3
 
@@ -52,12 +56,19 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mix(docs, weights).where("taken > 0")
 
 
+def _with_settings(stage: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(apply_settings(spark), docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality", quality_stage),
-    ("near_copies", near_copies_stage),
-    ("passages", passages_stage),
-    ("benchmark", benchmark_stage),
-    ("mixing", mixing_stage),
+    ("quality", _with_settings(quality_stage)),
+    ("near_copies", _with_settings(near_copies_stage)),
+    ("passages", _with_settings(passages_stage)),
+    ("benchmark", _with_settings(benchmark_stage)),
+    ("mixing", _with_settings(mixing_stage)),
 ]
 
 #: Compression, fingerprints and MinHash are not expressible in SQL; the tests compare with brute force.
