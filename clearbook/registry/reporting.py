@@ -179,7 +179,7 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (early, ~early):
         rows = market.bid_awards.filter(part).select(*AWARDS.names)
         conforming.publish(rows, CLASSIC_NAMES["bid_awards"]).write.mode("append").option("header", True).csv(f"{root}-drop")
-        run = ingest_and_merge(spark, f"{root}-drop", header, "bid_awards", root, f"{root}-checkpoint")
+        run = ingest_and_merge(spark, f"{root}-drop", header, "bid_awards", root, f"{root}-checkpoint", 1)
         run.awaitTermination()
     return text_dates(rounded(spark.read.parquet(f"{root}/final"), "settlement_price", "mark_price"))
 

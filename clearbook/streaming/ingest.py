@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +16,8 @@ from clearbook.operators.filters import drop_empty
 from clearbook.operators.prices import hourly_by_point
 from clearbook.plans.classic import MarketTables, classic_final
 from clearbook.sources.tables import DATE
+from clearbook.streaming import compaction
+from clearbook.streaming.compaction import COMPACT_EVERY
 
 
 def stream_files(spark: SparkSession, source: str, header: list[str], table: str, files_per_trigger: int = 1_000) -> DataFrame:
@@ -44,16 +45,23 @@ def ingest_files(
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def batch_writer(root: str, table: str, after: Callable[[DataFrame, SparkSession], None]) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    root: str, table: str, after: Callable[[DataFrame, SparkSession], None], compact_every: int = COMPACT_EVERY
+) -> Callable[[DataFrame, int], None]:
     """Batch function for ``foreachBatch``: store the batch under its number, then call ``after`` with its dates.
 
-    A batch that is delivered again replaces its own folder, so replays do not repeat rows.
+    A batch that is delivered again replaces its own folder, so replays do not repeat rows. Once ``compact_every`` batches
+    have gathered they are merged, see ``compaction``, before the next is stored: a stream hands over a batch only when all
+    earlier ones are done.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        if batch_id <= compaction.manifest(spark, root, table).last:
+            return
+        compaction.compact(spark, root, table, schemas.TABLES[table], batch_id, compact_every)
         target = f"{root}/{table}/batch_id={batch_id}"
         rows.hint("rebalance", F.col(DATE)).write.mode("overwrite").partitionBy(DATE).parquet(target)
-        spark = rows.sparkSession
         # The stored form can be read no sooner than something was written.
         stored = read_table(spark, root, table).filter(F.col("batch_id") == batch_id)
         after(stored.select(DATE).distinct(), spark)
@@ -63,11 +71,7 @@ def batch_writer(root: str, table: str, after: Callable[[DataFrame, SparkSession
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All stored batches of a table; no rows when nothing was stored yet."""
-    layout = T.StructType([*schemas.TABLES[table].fields, T.StructField("batch_id", T.LongType())])
-    try:
-        return spark.read.schema(layout).parquet(f"{root}/{table}")
-    except AnalysisException:
-        return spark.createDataFrame([], layout)
+    return compaction.read_batches(spark, root, table, schemas.TABLES[table])
 
 
 def merge_touched(dates: DataFrame, spark: SparkSession, root: str) -> None:
@@ -83,9 +87,10 @@ def merge_touched(dates: DataFrame, spark: SparkSession, root: str) -> None:
 
 
 def ingest_and_merge(
-    spark: SparkSession, source: str, header: list[str], table: str, root: str, checkpoint: str
-) -> StreamingQuery:
+    spark: SparkSession, source: str, header: list[str], table: str, root: str, checkpoint: str,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
     """``ingest_files`` with the settlement of the touched dates rebuilt after every batch."""
-    write = batch_writer(root, table, lambda dates, session: merge_touched(dates, session, root))
+    write = batch_writer(root, table, lambda dates, session: merge_touched(dates, session, root), compact_every)
     stream = stream_files(spark, source, header, table).writeStream.foreachBatch(write)
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

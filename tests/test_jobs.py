@@ -261,7 +261,7 @@ def test_a_load_is_published_once(spark, rows, database, small, monkeypatch):
     def counts():
         return tuple(spark.table(f"{database}.{name}").count() for name in ("bids", "prices", "ledger"))
 
-    move, moved = loads._Files.move, []
+    move, moved = loads.Files.move, []
 
     def killed(self, source, target):
         if len(moved) == 1:
@@ -269,10 +269,10 @@ def test_a_load_is_published_once(spark, rows, database, small, monkeypatch):
         moved.append(source)
         move(self, source, target)
 
-    monkeypatch.setattr(loads._Files, "move", killed)
+    monkeypatch.setattr(loads.Files, "move", killed)
     with pytest.raises(KeyboardInterrupt):
         loads.publish_once(spark, database, "DAM-2024-03", build, NOW)
-    monkeypatch.setattr(loads._Files, "move", move)
+    monkeypatch.setattr(loads.Files, "move", move)
     assert len(moved) == 1 and spark.table(f"{database}.ledger").isEmpty()
     assert loads.publish_once(spark, database, "DAM-2024-03", build, NOW) and counts() == (2, 1, 1)
     assert not loads.publish_once(spark, database, "DAM-2024-03", build, NOW) and len(built) == 1
