@@ -68,15 +68,16 @@ def one_edit(a: str, b: str) -> bool:
 
 
 def near_pairs(
-    listed: list[str], others: list[str], frequent: Mapping[str, int], longest: int
+    listed: list[str], others: list[str], frequent: Mapping[str, int], longest: int, among: bool = True
 ) -> Iterator[tuple[str, str]]:
-    """Pairs of near words in one list: among ``listed``, which have one length, and with ``others``, as long or one shorter.
+    """Pairs of near words in one list: of ``listed``, which have one length, ``among`` them if wanted, and with ``others``, as
+    long or one shorter.
 
     Of two words of one length the smaller comes first; others that follow the listed word in order are left to its tile.
     """
     if len(listed) < MERGED:
         for i, word in enumerate(listed):
-            yield from ((min(word, x), max(word, x)) for x in listed[:i] if one_edit(word, x))
+            yield from ((min(word, x), max(word, x)) for x in (listed[:i] if among else ()) if one_edit(word, x))
             yield from ((x, word) for x in others if (len(x) < len(word) or x < word) and one_edit(x, word))
         return
     lists: dict[tuple[int, str], list[int]] = defaultdict(list)
@@ -88,6 +89,8 @@ def near_pairs(
             lists[gram].append(i)
     length = len(listed[0])
     for place, word in enumerate([*listed, *others]):
+        if place < len(listed) and not among:
+            continue
         grams, bound = variable_grams(word, frequent, longest)
         least, shared = len(grams) - bound, Counter()
         for start, gram in grams:
@@ -151,30 +154,47 @@ def near_words(
     key = ["gram", "place", "length"]
     kind = "gram string, place int, length int, own boolean, word string"
     rows = keep(words.select("word").mapInArrow(batches(listed, schema, 8192), kind), "lists")
-    sizes = rows.groupBy(*key).agg(F.count_if("own").alias("n")).where(F.col("n") > list_rows)
-    sizes = keep(sizes.select(*(F.col(name).alias(f"_{name}") for name in key), F.ceil(F.col("n") / list_rows).alias("tiles")), "long")
+    # A long list becomes a grid: tiles of its own words, and chunks of all that meet them.
+    sizes = rows.groupBy(*key).agg(F.count_if("own").alias("n"), F.count("*").alias("n_all"))
+    tiles, chunks = F.ceil(F.col("n") / list_rows).cast("int"), F.ceil(F.col("n_all") / (4 * list_rows)).cast("int")
+    sizes = sizes.select(*(F.col(name).alias(f"_{name}") for name in key), tiles.alias("tiles"), chunks.alias("chunks"))
+    sizes = keep(sizes.where((F.col("tiles") > 1) | (F.col("chunks") > 1)), "long")
     same = F.lit(True)
     for name in key:
         same &= F.col(name) == F.col(f"_{name}")
-    cut = rows.join(sizes, same, "left").select(*key, "own", "word", F.coalesce("tiles", F.lit(1)).cast("int").alias("tiles"))
-    tile = F.pmod(F.xxhash64("word"), F.col("tiles")).cast("int")
-    met = F.when(F.col("own") & (F.col("tiles") == 1), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))
-    dealt = cut.withColumn("own_tile", tile).select(*key, "word", "own", "own_tile", F.explode(met).alias("tile"))
-    own = F.col("own") & (F.col("own_tile") == F.col("tile"))
+    tiles, chunks = F.greatest(F.col("tiles"), F.lit(1)), F.coalesce("chunks", F.lit(1))
+    cut = rows.join(sizes, same, "left").select(
+        *key, "own", "word", tiles.alias("tiles"), chunks.alias("chunks"),
+        F.pmod(F.xxhash64("word"), tiles).cast("int").alias("own_tile"),
+        F.pmod(F.xxhash64("word", F.lit("chunk")), chunks).cast("int").alias("own_chunk"),
+    )
+    every_tile = F.sequence(F.lit(0), F.col("tiles") - 1)
+    other_tiles = F.filter(every_tile, lambda tile: ~F.col("own") | (tile != F.col("own_tile")))
+    as_other = F.transform(other_tiles, lambda tile: F.struct(tile.alias("tile"), F.col("own_chunk").alias("chunk"), F.lit(False).alias("listed")))
+    as_listed = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda chunk: F.struct(F.col("own_tile").alias("tile"), chunk.alias("chunk"), F.lit(True).alias("listed")),
+    )
+    cells = F.when(F.col("own"), F.concat(as_listed, as_other)).otherwise(as_other)
+    dealt = cut.select(*key, "word", F.explode(cells).alias("cell")).select(*key, "word", "cell.*")
     lists = (
-        dealt.groupBy(*key, "tile")
-        .agg(F.collect_list(F.when(own, F.col("word"))).alias("listed"), F.collect_list(F.when(~own, F.col("word"))).alias("others"))
+        dealt.groupBy(*key, "tile", "chunk")
+        .agg(
+            F.collect_list(F.when(F.col("listed"), F.col("word"))).alias("listed"),
+            F.collect_list(F.when(~F.col("listed"), F.col("word"))).alias("others"),
+        )
         .where("size(listed) > 0 and size(listed) + size(others) > 1")
     )
     pairs = pa.schema([("a", pa.string()), ("b", pa.string())])
 
     def merge(batch: pa.RecordBatch) -> dict:
         found = set()
-        for own_words, others in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found.update(near_pairs(own_words, others, sent.value, longest))
+        for own_words, others, chunk in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            # Words of one tile meet each other once, not in every chunk.
+            found.update(near_pairs(own_words, others, sent.value, longest, among=chunk == 0))
         return {"a": [a for a, _ in found], "b": [b for _, b in found]}
 
-    made = lists.select("listed", "others").mapInArrow(batches(merge, pairs, 4096), "a string, b string")
+    made = lists.select("listed", "others", "chunk").mapInArrow(batches(merge, pairs, 4096), "a string, b string")
     return made.distinct()
 
 
