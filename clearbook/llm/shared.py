@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +24,38 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/clearbook-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders written by ``keep`` in each of the open calls of ``settled``, the innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+def settled(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``build`` gives, as a written table; every other table that is kept on the way is removed."""
+    outer, made = _scopes.get(), []
+    _scopes.set((*outer, made))
+    try:
+        frame = build()
+    finally:
+        _scopes.set(outer)
+    table = keep(frame, name)
+    for path in made:
+        _remove(frame.sparkSession, path)
+    return table
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_kept(df: DataFrame) -> None:
     """Remove the files of a table written by ``keep`` that no later step reads."""
-    spark = df.sparkSession
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(df.sparkSession, folder)
 
 
 def columns_of(df: DataFrame) -> list[Column]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import components
-from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, shingle_hashes, word_hashes, words_of
+from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, settled, shingle_hashes, word_hashes, words_of
 from clearbook.llm.similar import similar_components
 
 BITS = 64
@@ -319,14 +319,21 @@ def drop_near_copies(
     Of rows that repeat a doc_id the one with the smallest text stays. Rows with a null doc_id cannot be named as copies
     or originals and all stay; they link nothing.
     """
-    found = simhash_components(docs, shingle, radius, agree).where("doc_id is not null")
-    placed = keep(found.select(F.col("component_id").alias("key"), "doc_id").distinct(), "placed")
-    several = keep(apart(placed, "key").agg(F.count("*").alias("n")).where("n > 1").select(back("key")), "several")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    exact = exact_components(texts, keep(placed.join(several, "key"), "candidates"), similarity)
-    firsts = apart(exact, "root").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    alone = placed.join(several, "key", "left_anti").select("doc_id")
-    kept = docs.join(firsts.unionByName(alone).distinct(), "doc_id", "left_semi")
+
+    def near() -> DataFrame:
+        found = simhash_components(docs, shingle, radius, agree).where("doc_id is not null")
+        return found.select(F.col("component_id").alias("key"), "doc_id").distinct()
+
+    def staying() -> DataFrame:
+        placed = settled(near, "placed")
+        several = keep(apart(placed, "key").agg(F.count("*").alias("n")).where("n > 1").select(back("key")), "several")
+        exact = exact_components(texts, keep(placed.join(several, "key"), "candidates"), similarity)
+        firsts = apart(exact, "root").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+        alone = placed.join(several, "key", "left_anti").select("doc_id")
+        return firsts.unionByName(alone).distinct()
+
+    kept = docs.join(settled(staying, "staying"), "doc_id", "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text")
     once = kept.withColumn("__clearbook_row", F.row_number().over(order)).where("__clearbook_row = 1")
     return once.select(columns_of(docs)).unionByName(docs.where("doc_id is null"))
