@@ -15,6 +15,7 @@ In a class that occurs in several documents, the document with the smallest doc_
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Mapping
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, word_hashes
+from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, settled, word_hashes
 from clearbook.llm.similar import similar_components
 
 SHINGLE = 5
@@ -154,15 +155,15 @@ def repeated_passages(
     window: int = WINDOW,
     step: int = STEP,
 ) -> DataFrame:
-    """(doc_id, kept_doc_id, class_id, kind, first_word, n_words): every paragraph or window that another document keeps.
+    """(doc_id, kept_doc_id, class_id, kind, first_word, n_words, node): every paragraph or window that another document keeps.
 
-    Words are split at ASCII white space, A-Z in lower case; first_word counts from 0. Null or empty texts, and rows with a
+    Words are split at ASCII white space, A-Z in lower case; first_word counts from 0; node is the hash of what stands there. Null or empty texts, and rows with a
     null doc_id, have no passages. Rows that repeat a doc_id are one document: they never repeat each other. Other columns
     are ignored, and an empty table gives no rows.
     """
     units = _units(docs, window, step, least_words)
     paragraphs, windows = units.where("bands is not null"), units.where("bands is null").drop("bands")
-    classes = keep(paragraph_classes(docs, paragraphs, similarity), "classes")
+    classes = settled(lambda: paragraph_classes(docs, paragraphs, similarity), "classes")
     sums = (F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("last"))
     of_node = paragraphs.groupBy("node").agg(*sums).join(classes, "node", "left")
     rooted = of_node.withColumn("root", F.coalesce("root", "node"))
@@ -175,7 +176,7 @@ def repeated_passages(
     whole = paragraphs.drop("bands").join(repeated, "node").withColumn("kind", F.lit("paragraph"))
     twice = apart(windows, "node").agg(*sums).where("kept_doc_id <> last").select(back("node"), "kept_doc_id")
     parts = windows.join(twice, "node").withColumn("class_id", F.col("node")).withColumn("kind", F.lit("window"))
-    columns = ["doc_id", "kept_doc_id", "class_id", "kind", F.col("start").alias("first_word"), "n_words"]
+    columns = ["doc_id", "kept_doc_id", "class_id", "kind", F.col("start").alias("first_word"), "n_words", "node"]
     return whole.select(*columns).unionByName(parts.select(*columns)).where("doc_id <> kept_doc_id")
 
 
@@ -207,17 +208,36 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
+def standing(text: str | None, places: Iterable[Mapping]) -> list[tuple[int, int]]:
+    """(first word, words) of the places whose text stands there: another row with this doc_id may have been meant."""
+    words = word_hashes((text or "").encode("utf-8", "surrogatepass").lower().split())
+    found = []
+    for place in places:
+        first, count = place["first_word"], place["n_words"]
+        own = words[first : first + count]
+        if not place["is_window"]:
+            own = rolled(own, SHINGLE)
+        if first + count <= len(words) and _signed(xxhash.xxh3_64_intdigest(own.tobytes())) == place["node"]:
+            found.append((first, count))
+    return found
+
+
 def drop_repeated(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and ``n_chars``, where there is one, counted anew.
 
-    Every row stays, with an empty text if nothing of it is left. Texts without repeated passages are unchanged.
+    Every row stays, with an empty text if nothing of it is left. Texts without repeated passages are unchanged. Of rows that
+    repeat a doc_id each loses what stands in it.
     """
-    found = repeated_passages(docs, similarity).select("doc_id", "first_word", "n_words").distinct()
-    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("__clearbook_spans"))
+    def places() -> DataFrame:
+        found = repeated_passages(docs, similarity).select("doc_id", "first_word", "n_words", "node", "kind").distinct()
+        place = F.struct("first_word", "n_words", "node", (F.col("kind") == "window").alias("is_window"))
+        return found.groupBy("doc_id").agg(F.collect_list(place).alias("__clearbook_spans"))
+
+    spans = settled(places, "spans")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([cut_words(t, [tuple(s.values()) for s in of]) for t, of in zip(texts, spans)], dtype=object)
+        return pd.Series([cut_words(t, standing(t, of)) for t, of in zip(texts, spans)], dtype=object)
 
     joined = docs.join(spans, "doc_id", "left")
     hit = joined.where("__clearbook_spans is not null").withColumn("text", cut("text", "__clearbook_spans"))

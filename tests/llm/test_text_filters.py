@@ -188,3 +188,27 @@ def test_index_finds_all_codes_within_the_radius():
 @pytest.mark.parametrize("text", ["", None, "a", "a b c d e f"])
 def test_units_of_short_texts(text):
     assert units_of(text, 32, 15, 50) == []
+
+
+def test_rows_of_one_document_lose_only_what_stands_in_them(spark):
+    shared, own, other = prose(70, 60), prose(71, 80), prose(72, 90)
+    rows = [(1, f"{shared}\n{prose(73, 70)}"), (2, f"{shared}\n{own}"), (2, other), (2, f"{other[:200]}\n{own}")]
+    found = [r.text for r in drop_repeated(docs(spark, rows)).where("doc_id = 2").collect()]
+    assert sorted(found) == sorted([own, other, f"{other[:200]}\n{own}"])
+
+
+def test_only_the_settled_table_stays(spark, tmp_path):
+    from clearbook.llm.shared import keep, settled
+
+    made = []
+
+    def build():
+        made.append(keep(spark.range(5), "inner"))
+        made.append(settled(lambda: keep(made[0].where("id > 1"), "deeper").where("id > 2"), "middle"))
+        return made[1].where("id > 3")
+
+    table = settled(build, "outer")
+    assert [r.id for r in table.collect()] == [4]
+    for gone in made:
+        with pytest.raises(Exception, match="(?i)exist|not found"):
+            gone.collect()
