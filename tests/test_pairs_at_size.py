@@ -1,0 +1,79 @@
+"""Joins that make many rows of each of their rows, and the tables written from them."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from clearbook.operators import joins, skew
+from clearbook.operators.bounded import SmallList
+from clearbook.operators.skew import pair_join_hot, task_count
+from clearbook.plans import paired
+from clearbook.registry.settlement import text_dates
+from tests.market import award, market, order, price
+
+KEYS = ["day", "point"]
+DAY = dt.date(2024, 1, 1)
+
+
+def _sides(spark):
+    left = spark.createDataFrame([(DAY, "A", 1), (DAY, None, 2), (None, "A", 3), (DAY, "A", 4)], "day date, point string, bid int")
+    right = spark.createDataFrame([(DAY, "A", 7), (DAY, None, 8), (None, "A", 9), (DAY, "B", 0)], "day date, point string, offer int")
+    return left, right
+
+
+def test_pairs_take_changed_bids_and_match_missing_keys(spark, rows):
+    left, right = _sides(spark)
+    wanted = [(None, "A", 3, 9), ("2024-01-01", None, 2, 8), ("2024-01-01", "A", 1, 7), ("2024-01-01", "A", 4, 7)]
+    hot = SmallList(spark.createDataFrame([(DAY, "A")], "day date, point string").select(
+        F.xxhash64(*KEYS).alias(skew._HASH), F.lit(2).alias(skew._ACROSS), F.lit(3).alias(skew._DOWN)
+    ))
+    for tiles in (None, hot):
+        pairs = pair_join_hot(left, right, KEYS, tiles, text_dates)
+        assert pairs.columns == ["day", "point", "bid", "offer"]
+        assert sorted(map(tuple, pairs.collect()), key=lambda row: row[2]) == sorted(wanted, key=lambda row: row[2])
+
+
+def test_pairs_of_a_task_come_out_by_date(spark):
+    left, right = (side.filter("day IS NOT NULL") for side in _sides(spark))
+    later = left.unionByName(left.withColumn("day", F.date_add("day", 1)))
+    pairs = pair_join_hot(later, right.unionByName(right.withColumn("day", F.date_add("day", 1))), KEYS, None, missing_first=False)
+    by_task = pairs.rdd.glom().collect()
+    assert sum(map(len, by_task)) == 6
+    assert all([row.day for row in task] == sorted(row.day for row in task) for task in by_task)
+
+
+def test_interval_prices_are_dealt_by_the_rows_they_make(spark):
+    tables = market(spark, bid_awards=[award("a"), award("b", hour=2)], prices=[price(1.0), price(2.0, interval=2)])
+    joined = joins.award_price_left(tables.bid_awards, tables.prices, hourly=False)
+    found = sorted((row.order_id, row.mark_price) for row in joined.collect() if row.mark_price)
+    assert found == [("a", 1.0), ("a", 2.0)] and joined.count() == 3
+    assert joined.rdd.getNumPartitions() >= task_count(spark)
+
+
+def test_written_pairs_are_neither_staged_nor_dealt_anew(spark, monkeypatch, tmp_path):
+    written = []
+
+    def noting(df, path, mode="append", column="delivery_date", rebalance=True):
+        written.append((path.rsplit("/", 1)[1], rebalance))
+        return real(df, path, mode, column, rebalance)
+
+    real = paired.write_by_date
+    monkeypatch.setattr(paired, "write_by_date", noting)
+    tables = market(
+        spark,
+        bids=[order("b", levels=[(1.0, 2.0)])],
+        bid_awards=[award("b"), award("n", hour=2), award("u", day=None)],
+        offer_awards=[award("o"), award("m", hour=2), award("v", day=None)],
+        prices=[price(5.0)],
+    )
+    out = paired.write_paired(tables, str(tmp_path / "out"), str(tmp_path / "stage"), ["seq"], ["interval"], narrow=True)
+    stored = {name: spark.read.parquet(folder) for name, folder in out.items()}
+    pairs = sorted((row.bid_id, row.offer_id, row.delivery_date) for row in stored["merged_pairs"].collect() if row.delivery_date)
+    assert pairs == [("b", "o", DAY), ("n", "m", DAY)]
+    assert [(row.bid_id, row.offer_id) for row in stored["merged_pairs"].filter("delivery_date IS NULL").collect()] == [("u", "v")]
+    assert [(row.bid_id, row.market_price) for row in stored["final"].collect()] == [("b", 5.0)]
+    assert dict(stored["merged_pairs"].dtypes)["offer_award_mw"] == "float"
+    assert {name for name, rebalance in written if not rebalance} == {"merged_pairs", "final"}
+    assert "settled" not in dict(written)
