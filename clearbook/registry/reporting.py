@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clearbook import schemas
 from clearbook.operators import conform as conforming
 from clearbook.operators import filters, joins, quality
+from clearbook.operators.bounded import SmallList
 from clearbook.operators.sketches import BOUND, column_sketches, merged_sketches, sketched_profile
 from clearbook.plans.load_report import load_with_report
 from clearbook.registry import query
@@ -156,9 +157,10 @@ def day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     awards = conforming.conform_table(scan_by_header(spark, f"{path}/bid_awards", "bid_awards"), "bid_awards")
     spot = conforming.conform_table(scan_prices(spark, f"{path}/prices"), "prices")
     kept = filters.keep_qses(awards, tracked_names(spark, sf_dir))
-    overlap = joins.prices_at_points(spot, kept.select("settlement_point"))
+    # The points of the awards are those that are counted: one pass over the award files gives both.
+    counted = SmallList(kept.groupBy("settlement_point").agg(F.count("*").alias("n_awards"))).frame
+    overlap = joins.prices_at_points(spot, counted.select("settlement_point"))
     mean = overlap.groupBy("settlement_point").agg(F.round(F.avg("price"), 7).alias("avg_price"))
-    counted = kept.groupBy("settlement_point").agg(F.count("*").alias("n_awards"))
     return counted.join(mean, "settlement_point")
 
 
