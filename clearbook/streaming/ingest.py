@@ -15,7 +15,7 @@ from clearbook.operators.conform import conform_table
 from clearbook.operators.filters import drop_empty
 from clearbook.operators.prices import hourly_by_point
 from clearbook.plans.classic import MarketTables, classic_final
-from clearbook.sources.tables import DATE
+from clearbook.sources.tables import DATE, FEW_DATES
 from clearbook.streaming import compaction
 from clearbook.streaming.compaction import COMPACT_EVERY
 
@@ -52,7 +52,7 @@ def batch_writer(
 
     A batch that is delivered again replaces its own folder, so replays do not repeat rows. Once ``compact_every`` batches
     have gathered they are merged, see ``compaction``, before the next is stored: a stream hands over a batch only when all
-    earlier ones are done.
+    earlier ones are done. A batch of few dates is written by the tasks that read it; merging sees to the size of its files.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
@@ -61,7 +61,9 @@ def batch_writer(
             return
         compaction.compact(spark, root, table, schemas.TABLES[table], batch_id, compact_every)
         target = f"{root}/{table}/batch_id={batch_id}"
-        rows.hint("rebalance", F.col(DATE)).write.mode("overwrite").partitionBy(DATE).parquet(target)
+        few = SmallList(rows.select(DATE).distinct(), FEW_DATES).is_small
+        placed = rows if few else rows.hint("rebalance", F.col(DATE))
+        placed.write.mode("overwrite").partitionBy(DATE).parquet(target)
         # The stored form can be read no sooner than something was written.
         stored = read_table(spark, root, table).filter(F.col("batch_id") == batch_id)
         after(stored.select(DATE).distinct(), spark)
@@ -81,8 +83,10 @@ def merge_touched(dates: DataFrame, spark: SparkSession, root: str) -> None:
     stored = {name: keep_listed(read_table(spark, root, name), touched, [DATE]).drop("batch_id") for name in names}
     order = F.struct("interval", "price")
     stored["prices"] = hourly_by_point(stored["prices"], order)
-    final = classic_final(MarketTables(**stored)).hint("rebalance", F.col(DATE))
-    writer = final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    final = classic_final(MarketTables(**stored))
+    days = touched.literals()
+    few = days is not None and len(days) <= FEW_DATES
+    writer = (final if few else final.hint("rebalance", F.col(DATE))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(DATE).parquet(f"{root}/final")
 
 
