@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearbook.llm.shared import keep
+from clearbook.llm.shared import keep, keep_counted
 
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -78,14 +78,15 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, bins: int = 4096) ->
     key = F.when(chance > 0, -F.log(unit_hash(F.col("doc_id"))) / chance).otherwise(F.lit(float("inf")))
     table = keep(table.select("doc_id", "source", "size", key.alias("key")), "keys")
     sizes = table.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = keep(source_targets(sizes), "targets")
+    targets, sources = keep_counted(source_targets(sizes), "targets")
+    few = sources <= 100_000  # one row a source is small enough to broadcast
     budgets = targets.select(
         F.col("source").alias("_source"),
         "source_size",
         "target",
         F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).alias("whole"),
     ).withColumn("budget", F.floor("target") - F.col("whole") * F.col("source_size"))
-    placed = table.join(F.broadcast(budgets) if _few(targets) else budgets, F.col("source").eqNullSafe(F.col("_source")))
+    placed = table.join(F.broadcast(budgets) if few else budgets, F.col("source").eqNullSafe(F.col("_source")))
     # exp(-key) spreads the keys over 0 to 1; the finer bins are equal parts of a bin.
     spread = (1 - F.exp(-F.col("key"))) * bins
     coarse = F.least(F.floor(spread), F.lit(bins - 1))
@@ -103,7 +104,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, bins: int = 4096) ->
     both = first.join(second.drop("budget").withColumnRenamed("_edge_source", "_fine_source"),
                       F.col("_edge_source").eqNullSafe(F.col("_fine_source")), "left")
     both = keep(both.drop("budget", "_fine_source"), "edges")
-    dealt = cut.join(F.broadcast(both) if _few(targets) else both, F.col("_source").eqNullSafe(F.col("_edge_source")), "left")
+    dealt = cut.join(F.broadcast(both) if few else both, F.col("_source").eqNullSafe(F.col("_edge_source")), "left")
     place = F.struct("coarse", "fine")
     border = F.struct(F.col("coarse_edge").alias("coarse"), F.col("fine_edge").alias("fine"))
     before = dealt.where(F.col("coarse_edge").isNull() | (place < border)).withColumn(
@@ -118,11 +119,6 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, bins: int = 4096) ->
     return parts.select("doc_id", "source", "size", "source_size", F.col("target"), taken)
 
 
-def _few(targets: DataFrame, most: int = 100_000) -> bool:
-    """Whether one row a source is small enough to broadcast; counted on the written table."""
-    return targets.count() <= most
-
-
 def _edge(sums: DataFrame, name: str) -> DataFrame:
     """Of each source, the first bin at which the running sum passes the budget, and the sum before it."""
     running = F.sum("sum").over(Window.partitionBy("_source").orderBy(name)) - F.col("sum")

@@ -9,7 +9,7 @@ from contextvars import ContextVar
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clearbook.session import shared_dir
@@ -29,6 +29,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_counted(df: DataFrame, name: str, which: Column | None = None) -> tuple[DataFrame, int]:
+    """``keep``, and the number of its rows, or of those ``which`` holds for: counted while they are written, by no job more."""
+    seen = Observation()
+    table = keep(df.observe(seen, F.count_if(F.lit(True) if which is None else which).alias("n")), name)
+    return table, seen.get["n"]
+
+
 #: Folders written by ``keep`` in each of the open calls of ``settled``, the innermost last.
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 

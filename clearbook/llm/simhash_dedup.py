@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import components
-from clearbook.llm.shared import apart, back, batches, columns_of, keep, rolled, settled, shingle_hashes, word_hashes, words_of
+from clearbook.llm.shared import (
+    apart, back, batches, columns_of, keep, keep_counted, rolled, settled, shingle_hashes, word_hashes, words_of,
+)
 from clearbook.llm.similar import similar_components
 
 BITS = 64
@@ -202,8 +204,8 @@ def links(
         F.count("*").alias("n"), (F.min("root") < F.max("root")).alias("mixed")
     )
     crowded = counted.where(F.col("n") > shard_rows).select("pair", F.bitwise_not("_bits").alias("bits"), "n", "mixed")
-    hot = keep(crowded, "crowded")
-    side = F.broadcast(hot) if hot.count() <= 100_000 else hot
+    hot, shards = keep_counted(crowded, "crowded")
+    side = F.broadcast(hot) if shards <= 100_000 else hot
     key = F.struct("pair", "bits").alias("key")
     small = keyed.join(side, ["pair", "bits"], "left_anti").groupBy(key)
     small = small.agg(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import components
-from clearbook.llm.shared import apart, back, batches, keep
+from clearbook.llm.shared import apart, back, batches, keep, keep_counted
 
 #: Nodes of a tile, and shingles of a tile on average: long sets make smaller tiles.
 TILE_ROWS, TILE_SHINGLES = 128, 128 * 1024
@@ -66,8 +66,8 @@ def _tiled_links(rooted: DataFrame, sets: DataFrame, similarity: float, tile_row
     groups = counts.groupBy("key").agg(
         F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots")
     )
-    mixed = keep(groups.where("roots > 1").drop("roots"), "mixed")
-    side = F.broadcast(mixed) if mixed.count() <= 100_000 else mixed
+    mixed, several = keep_counted(groups.where("roots > 1").drop("roots"), "mixed")
+    side = F.broadcast(mixed) if several <= 100_000 else mixed
     members = keep(rooted.join(side, "key").join(sets, "node"), "members")
     # The number of tiles of either side follows its nodes and their shingles.
     measured = members.groupBy("key").agg(
@@ -83,8 +83,8 @@ def _tiled_links(rooted: DataFrame, sets: DataFrame, similarity: float, tile_row
             )
         )
     )
-    measured = keep(measured, "tiles")
-    side = F.broadcast(measured) if measured.count() <= 100_000 else measured
+    measured, tiled = keep_counted(measured, "tiles")
+    side = F.broadcast(measured) if tiled <= 100_000 else measured
     sized = members.join(side, "key")
     value = F.struct("root", "shingles")
 
