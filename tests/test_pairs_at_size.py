@@ -77,3 +77,31 @@ def test_written_pairs_are_neither_staged_nor_dealt_anew(spark, monkeypatch, tmp
     assert dict(stored["merged_pairs"].dtypes)["offer_award_mw"] == "float"
     assert {name for name, rebalance in written if not rebalance} == {"merged_pairs", "final"}
     assert "settled" not in dict(written)
+
+
+def test_a_range_is_paired_once_a_table_and_all_dates_with_those_without(spark, monkeypatch, tmp_path):
+    asked = []
+
+    def noting(*args, undated=True):
+        asked.append(undated)
+        return real(*args, undated=undated)
+
+    real = paired.pair_bids_with_offers
+    monkeypatch.setattr(paired, "pair_bids_with_offers", noting)
+    tables = market(
+        spark,
+        bid_awards=[award("b"), award("l", day=dt.date(2024, 1, 9)), award("u", day=None)],
+        offer_awards=[award("o"), award("m", day=dt.date(2024, 1, 9)), award("v", day=None)],
+        prices=[price(5.0)],
+    )
+    for number, (days, undated, pairs) in enumerate((
+        ((DAY, DAY), [False, False], [("b", "o")]),
+        ((None, None), [False, True, False, True], [("b", "o"), ("l", "m"), ("u", "v")]),
+    )):
+        asked.clear()
+        out = paired.write_paired(
+            tables, str(tmp_path / f"out{number}"), str(tmp_path / f"stage{number}"), ["seq"], ["interval"], *days
+        )
+        assert asked == undated
+        found = spark.read.parquet(out["merged_pairs"]).collect()
+        assert sorted((row.bid_id, row.offer_id) for row in found) == pairs
